@@ -102,7 +102,7 @@ def scan_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def scan_csv_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.scratch_path(spark, "scan_csv_saved")
-    sources.save(read_table(spark, sf_dir, "documents"), path, rows_per_file=100_000)
+    sources.save(read_table(spark, sf_dir, "documents"), path, rows_per_file=10_000)
     return sources.read_saved_csv(spark, path)
 
 
@@ -393,12 +393,13 @@ def la_compare_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return patterns.absence_pattern_cells(_regional(spark, sf_dir))
+    return patterns.pattern_cells(_regional(spark, sf_dir))
 
 
 @_query
 def absence_pattern_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_cells(spark, sf_dir), "avg_absence_rate")
+    cells = patterns.absence_pattern_cells(_regional(spark, sf_dir))
+    return _rounded(cells, "avg_absence_rate")
 
 
 @_query
@@ -449,12 +450,13 @@ def absence_trend_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regional.regional_attendance(_regional(spark, sf_dir))
+    return regional.regional_rates(_regional(spark, sf_dir))
 
 
 @_query
 def regional_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_rates(spark, sf_dir), "avg_attendance", "avg_absence")
+    rates = regional.regional_attendance(_regional(spark, sf_dir))
+    return _rounded(rates, "avg_attendance", "avg_absence")
 
 
 @_query

@@ -1,7 +1,8 @@
 """Absence rates by school type, region and year. Rates are ratios of sums.
 
-``absence_pattern_cells`` keeps the sums beside each rate; every other function takes those
-cells and adds the sums up again, so no session is aggregated from the source twice.
+``pattern_cells``, and its ordered form ``absence_pattern_cells``, keep the sums beside each
+rate; the functions below them take those cells and add the sums up again, so no session is
+aggregated from the source twice.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def pattern_scope(df: DataFrame) -> DataFrame:
     )
 
 
-def absence_pattern_cells(df: DataFrame) -> DataFrame:
+def pattern_cells(df: DataFrame) -> DataFrame:
     """Absence rate and its two sums per school type, region and year."""
     return (
         level_by_type(df, "Regional")
@@ -37,10 +38,13 @@ def absence_pattern_cells(df: DataFrame) -> DataFrame:
             F.sum("sess_possible").alias("total_possible_sessions"),
         )
         .withColumn("avg_absence_rate", _rate())
-        .orderBy("time_period", "school_type", "region_name")
     )
 
 
+def absence_pattern_cells(df: DataFrame) -> DataFrame:
+    return pattern_cells(df).orderBy("time_period", "school_type", "region_name")
+
+
 def _rate() -> Column:
     return absence_percent(*[F.col(name) for name in SUMS])
 

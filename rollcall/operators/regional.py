@@ -1,6 +1,7 @@
 """Regional attendance over the years and what follows from it.
 
-All functions but the first take the rows of ``regional_attendance``.
+``regional_rates`` and its ordered form ``regional_attendance`` take the stacked table, all
+other functions take the rows of either.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from rollcall.functions import absence_percent, academic_year_label, to_rows
 from rollcall.operators.predicates import level_total, present
 
 
-def regional_attendance(df: DataFrame) -> DataFrame:
+def regional_rates(df: DataFrame) -> DataFrame:
     """Attendance and absence per region and year, in percent of the possible sessions."""
     missed, possible = F.sum("sess_overall"), F.sum("sess_possible")
     return (
@@ -23,10 +24,13 @@ def regional_attendance(df: DataFrame) -> DataFrame:
             (100 * (1 - F.try_divide(missed, possible))).alias("avg_attendance"),
             absence_percent(missed, possible).alias("avg_absence"),
         )
-        .orderBy("region_name", "time_period")
     )
 
 
+def regional_attendance(df: DataFrame) -> DataFrame:
+    return regional_rates(df).orderBy("region_name", "time_period")
+
+
 def trend_series(rates: DataFrame) -> DataFrame:
     """The points of a trend line per region, labelled with the academic year."""
     return rates.select(
@@ -61,8 +65,7 @@ def improvement(rates: DataFrame) -> DataFrame:
     )
 
 
-def performance(rates: DataFrame) -> DataFrame:
-    """Change, mean of the yearly attendance and a verdict per region."""
+def _performance(rates: DataFrame) -> DataFrame:
     return (
         rates.groupBy("region_name")
         .agg(_change().alias("change"), F.avg("avg_attendance").alias("average"))
@@ -72,10 +75,14 @@ def performance(rates: DataFrame) -> DataFrame:
             .when(F.col("change") < 0, "Worsened")
             .when(F.col("change") == 0, "No Change"),
         )
-        .orderBy("region_name")
     )
 
 
+def performance(rates: DataFrame) -> DataFrame:
+    """Change, mean of the yearly attendance and a verdict per region."""
+    return _performance(rates).orderBy("region_name")
+
+
 def extremes(rates: DataFrame) -> DataFrame:
     """Best and worst region by change and by mean; of equal regions the first by name."""
 
@@ -90,7 +97,7 @@ def extremes(rates: DataFrame) -> DataFrame:
         "best_average": pick("average", -1),
         "worst_average": pick("average", 1),
     }
-    found = performance(rates).agg(*[value.alias(name) for name, value in picks.items()])
+    found = _performance(rates).agg(*[value.alias(name) for name, value in picks.items()])
     return to_rows(
         found,
         [

@@ -4,6 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Columns of the tables in use. A declared schema spares the footer reads, each
+# a job of its own, that inference would run before a query is even planned.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{data_dir}/{name}.parquet")
