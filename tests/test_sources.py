@@ -5,6 +5,9 @@ from pyspark.errors import AnalysisException
 
 from rollcall import sources
 from rollcall.catalog import QUERIES
+from rollcall.operators import absence, comparison, patterns, regional
+from rollcall.operators.predicates import level_total
+from rollcall.plans import load_attendance_mart
 
 
 def test_default_csv_reader_infers_types(spark, tmp_path):
@@ -116,6 +119,25 @@ def test_file_inventory_of_the_tables(spark):
     assert all(r["size_kb"] > 0 and r["modified"] is not None for r in rows)
 
 
+def test_analysis_of_a_table_saved_as_csv_equals_that_of_the_table(spark, tmp_path):
+    levels = ("National", "Regional", "Local authority")
+    mart = load_attendance_mart(spark, "/root/testdata/sf0.001", levels)
+    path = str(tmp_path / "mart")
+    sources.save(mart, path)
+    read = sources.read_saved_csv(spark, path)
+    assert read.count() == mart.count()
+    for operator in (
+        regional.regional_attendance,
+        patterns.absence_pattern_cells,
+        lambda df: absence.unauthorised_by_area(level_total(df, "Regional"), "region_name", 199697),
+        lambda df: comparison.compare_rates(
+            level_total(df, "Local authority"), "NATION_0", "NATION_1", 199697
+        ),
+    ):
+        expected = list(map(tuple, operator(mart).collect()))
+        assert expected and list(map(tuple, operator(read).collect())) == expected
+
+
 def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (sources.scratch_path(spark, "x") for _ in range(2))
