@@ -28,9 +28,12 @@ MART = f"""
 per_order AS (
   SELECT l_orderkey,
     SUM(CAST(l_quantity AS BIGINT)) AS sess_possible,
-    SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS sess_authorised,
-    SUM(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS sess_unauthorised,
-    SUM(CASE WHEN l_returnflag IN ('R', 'A') THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS sess_overall,
+    SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END)
+      AS sess_authorised,
+    SUM(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END)
+      AS sess_unauthorised,
+    SUM(CASE WHEN l_returnflag IN ('R', 'A') THEN CAST(l_quantity AS BIGINT) ELSE 0 END)
+      AS sess_overall,
     {_REASON_SUMS}
   FROM lineitem GROUP BY l_orderkey),
 base AS (

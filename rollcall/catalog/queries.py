@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rollcall import sources
 from rollcall.operators import (
@@ -123,7 +124,7 @@ def _saved_mart(spark: SparkSession, sf_dir: str, label: str, file_format: str,
     return path
 
 
-_SAVED_SCHEMA = type(MART_SCHEMA)([field for field in MART_SCHEMA if field.name != "num_schools"])
+_SAVED_SCHEMA = StructType([field for field in MART_SCHEMA if field.name != "num_schools"])
 
 
 @_query
@@ -225,12 +226,14 @@ def fill_null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def replace_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.replace_suppressed(_unclean(spark, sf_dir))
+    # Two passes, one to see which columns have NULLs: over a stored table.
+    stored = sources.store(_unclean(spark, sf_dir), "replace_suppressed")
+    return cleaning.replace_suppressed(stored)
 
 
 @_query
 def clean_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_nulls(_unclean(spark, sf_dir))
+    return cleaning.clean_nulls(sources.store(_unclean(spark, sf_dir), "clean_nulls"))
 
 
 @_query

@@ -68,7 +68,8 @@ def fill_null_texts(df: DataFrame) -> DataFrame:
 def replace_suppressed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``:`` -> ``-1`` in the text columns that have NULLs, or in those named by ``columns``.
 
-    Which columns have NULLs is found inside the same job; naming them saves that pass.
+    Which columns have NULLs is found inside the same job, by a pass of its own: name the
+    columns to save it, or ``store`` a table that is costly to derive.
     """
     return _change(df, _unsuppressed(df, columns))
 

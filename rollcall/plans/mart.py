@@ -101,7 +101,8 @@ def build_attendance_mart(
     if SCHOOL in levels or school_counts:
         schools = _cells(facts, ("region_name", "la_name", "school_name", "school_type"))
     if coarse:
-        parts.append(_coarse(_counted(schools), coarse) if school_counts else _coarse(facts, coarse))
+        cells = _counted(schools) if school_counts else facts
+        parts.append(_coarse(cells, coarse))
     if SCHOOL in levels:
         parts.append(_school_rows(schools, school_counts))
     stacked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -5,6 +5,7 @@ from rollcall.sources.files import (
     rows_per_file,
     save,
     scratch_path,
+    store,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "rows_per_file",
     "save",
     "scratch_path",
+    "store",
 ]

@@ -106,3 +106,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rollcall-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Compute ``df`` once into a scratch table and continue from the table: later passes, and
+    tasks rerun after a lost executor, read the files instead of repeating the plan.
+    """
+    path = scratch_path(df.sparkSession, label)
+    save(df, path, "parquet")
+    return df.sparkSession.read.schema(df.schema).parquet(path)

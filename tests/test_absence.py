@@ -54,7 +54,8 @@ def test_reason_breakdown(spark):
         school("S2", "Special", sess_authorised=2, enrolments=1, sess_auth_study=2),
         school("S2", "Special", 201718, sess_authorised=50, sess_auth_study=50),
     )
-    rows = {r.pop("absence_type"): r for r in dicts(absence.authorised_reason_breakdown(df, 201819))}
+    breakdown = absence.authorised_reason_breakdown(df, 201819)
+    rows = {r.pop("absence_type"): r for r in dicts(breakdown)}
     assert list(rows) == list(absence.REASON_LABELS.values())
     assert rows["Illness"] == {
         "total_sessions": 6, "percent_of_authorised": 60.0, "sessions_per_student": 1.2,

@@ -34,15 +34,18 @@ CUSTOMERS = [
 def _orders_and_lines():
     chance = random.Random(7)
     orders, lines = [], []
+
+    def some_line():
+        return chance.randrange(1, 8), chance.randrange(1, 51), chance.choice("RAN")
+
     for key in range(300):
         customer = 0 if key % 3 == 0 else chance.randrange(1, len(CUSTOMERS))
         date = datetime.datetime(chance.randrange(1995, 2001), chance.randrange(1, 13), 28)
         orders.append((key, customer, date))
         for _ in range(chance.randrange(0, 4)):
-            lines.append((key, chance.randrange(1, 8), chance.randrange(1, 51), chance.choice("RAN")))
+            lines.append((key, *some_line()))
     # Order 1 alone has a third of all lines; some lines belong to no order.
-    lines += [(1, chance.randrange(1, 8), chance.randrange(1, 51), chance.choice("RAN"))
-              for _ in range(len(lines) // 2)]
+    lines += [(1, *some_line()) for _ in range(len(lines) // 2)]
     lines += [(None, 1, 5, "R"), (999, 1, 5, "R")]
     chance.shuffle(lines)
     return orders, lines
@@ -84,13 +87,11 @@ def _brute_force(orders, lines):
                 cell[0][name] += value
             if school is not None:
                 cell[1].add(school)
-    return sorted(
-        (
-            (*key, *[{**sums, "num_schools": len(schools)}.get(n, 0) for n in MART_SCHEMA.names[6:]])
-            for key, (sums, schools) in cells.items()
-        ),
-        key=repr,
-    )
+    rows = []
+    for key, (sums, schools) in cells.items():
+        values = {**sums, "num_schools": len(schools)}
+        rows.append((*key, *[values.get(name, 0) for name in MART_SCHEMA.names[6:]]))
+    return sorted(rows, key=repr)
 
 
 @pytest.fixture(scope="module")

@@ -55,7 +55,8 @@ def test_attendance_and_series_are_ordered(years):
 
 
 def test_spread_counts_each_year_once_and_is_zero_for_one_year(years):
-    rows = {r.pop("region_name"): r for r in dicts(regional.absence_spread(regional.regional_rates(years)))}
+    spread = regional.absence_spread(regional.regional_rates(years))
+    rows = {r.pop("region_name"): r for r in dicts(spread)}
     assert rows["East"] == {"mean_absence": pytest.approx(7.0), "std_absence": 0.0}
     assert rows["South"]["mean_absence"] == pytest.approx(10.0)
     assert rows["South"]["std_absence"] == pytest.approx(8.660254037844387)
@@ -69,7 +70,8 @@ def test_improvement_is_last_minus_first_year_in_order(years):
 
 
 def test_performance_status(years):
-    rows = {r["region_name"]: r for r in dicts(regional.performance(regional.regional_rates(years)))}
+    performance = regional.performance(regional.regional_rates(years))
+    rows = {r["region_name"]: r for r in dicts(performance)}
     assert {name: r["status"] for name, r in rows.items()} == {
         "East": "No Change", "North": "Improved", "South": "Worsened", "West": "No Change",
     }
@@ -77,7 +79,8 @@ def test_performance_status(years):
 
 
 def test_extremes_and_ties_by_name(spark, years):
-    rows = {r["measure"]: r["region_name"] for r in dicts(regional.extremes(regional.regional_rates(years)))}
+    extremes = regional.extremes(regional.regional_rates(years))
+    rows = {r["measure"]: r["region_name"] for r in dicts(extremes)}
     assert rows == {
         "best_change": "North", "worst_change": "South",
         "best_average": "West", "worst_average": "South",

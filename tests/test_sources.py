@@ -142,3 +142,12 @@ def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (sources.scratch_path(spark, "x") for _ in range(2))
     assert first != second and first.startswith(shared) and second.startswith(shared)
+
+
+def test_stored_table_is_read_back_from_the_shared_folder(spark):
+    df = spark.range(5).selectExpr("id", "if(id = 2, NULL, 'x') AS text")
+    stored = sources.store(df, "stored")
+    assert stored.dtypes == df.dtypes
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect()))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert all(shared in file for file in stored.inputFiles())
