@@ -287,7 +287,8 @@ def filter_startswith(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _authority_totals(spark, sf_dir).filter(predicates.one_of("la_name", AUTHORITIES))
+    totals = _authority_totals(spark, sf_dir)
+    return totals.filter(predicates.one_of(totals, "la_name", AUTHORITIES))
 
 
 @_query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,13 @@ COMPARED_TOTALS = {
     "Total Possible Sessions": "sess_possible",
 }
 
+# Compared rates, and the measures whose rates add up to each.
+COMPARED_RATES = {
+    "Authorised Absence Rate": ("sess_authorised",),
+    "Unauthorised Absence Rate": ("sess_unauthorised",),
+    "Total Absence Rate": ("sess_authorised", "sess_unauthorised"),
+}
+
 
 def _pair(df: DataFrame, first: str, second: str, period: int) -> DataFrame:
     return df.filter(period_is(period) & F.col("la_name").isin(first, second))
@@ -75,23 +85,15 @@ def compare_totals(df: DataFrame, first: str, second: str, period: int) -> DataF
 def compare_rates(df: DataFrame, first: str, second: str, period: int) -> DataFrame:
     """Authorised, unauthorised and total absence rate of both, in percent of possible sessions."""
 
-    def rate(measure: str, side: int) -> Column:
-        return guarded_ratio(F.col(f"{measure}_{side}"), F.col(f"sess_possible_{side}"), 100.0)
-
-    def overall(side: int) -> Column:
-        return rate("sess_authorised", side) + rate("sess_unauthorised", side)
+    def rate(measures: tuple[str, ...], side: int) -> Column:
+        possible = F.col(f"sess_possible_{side}")
+        rates = [guarded_ratio(F.col(f"{name}_{side}"), possible, 100.0) for name in measures]
+        return reduce(add, rates)
 
     return to_rows(
         _pair_sums(df, first, second, period),
         [
-            _metric(
-                "Authorised Absence Rate", rate("sess_authorised", 1), rate("sess_authorised", 2)
-            ),
-            _metric(
-                "Unauthorised Absence Rate",
-                rate("sess_unauthorised", 1),
-                rate("sess_unauthorised", 2),
-            ),
-            _metric("Total Absence Rate", overall(1), overall(2)),
+            _metric(label, rate(measures, 1), rate(measures, 2))
+            for label, measures in COMPARED_RATES.items()
         ],
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
 from rollcall.functions import column
 
@@ -21,8 +21,7 @@ NULL_TEXT = "null"
 
 
 def _typed(df: DataFrame, name: str, value: object) -> Column:
-    kind = df.schema[name].dataType
-    return F.lit(value) if isinstance(kind, StringType) else F.lit(value).try_cast(kind)
+    return F.lit(value).try_cast(df.schema[name].dataType)
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -56,8 +55,8 @@ def starts_with(name: str, prefix: str) -> Column:
     return column(name).cast("string").startswith(prefix)
 
 
-def one_of(name: str, values: Sequence[object]) -> Column:
-    return column(name).isin(list(values))
+def one_of(df: DataFrame, name: str, values: Sequence[object]) -> Column:
+    return column(name).isin([_typed(df, name, value) for value in values])
 
 
 def present(name: str) -> Column:

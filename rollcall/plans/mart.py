@@ -195,9 +195,10 @@ def _coarse(cells: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Roll the levels above the school up from cells.
 
     The grouping sets are spelled out as one generated row per set instead of
-    ``DataFrame.groupingSets``: a filter on the period then reaches the orders, which the
-    expansion behind ``groupingSets`` would hold back.
+    ``DataFrame.groupingSets``: a filter on the period, or on geography that all sets share,
+    then reaches the scans, which the expansion behind ``groupingSets`` would hold back.
     """
+    shared = _GEOGRAPHY[levels[0]]
     sets = _grouping_sets(levels)
     counts = [_count_column(s) for _, s in sets if _count_column(s) in cells.columns]
     grain = cells.groupBy("time_period", *_GEOGRAPHY[levels[-1]], "school_type").agg(
@@ -214,13 +215,17 @@ def _coarse(cells: DataFrame, levels: Sequence[str]) -> DataFrame:
         }
         if counts:
             values["num_schools"] = _count_column(dimensions)
-        return f"struct({', '.join(f'{value} AS {name}' for name, value in values.items())})"
+        fields = [f"{value} AS {name}" for name, value in values.items() if name not in shared]
+        return f"struct({', '.join(fields)})"
 
     added = (*MEASURES, "num_schools") if counts else MEASURES
     names = ("time_period", "geographic_level", "region_name", "la_name", "school_type")
     return (
         grain.selectExpr(
-            "time_period", *MEASURES, f"inline(array({', '.join(member(*s) for s in sets)}))"
+            "time_period",
+            *shared,
+            *MEASURES,
+            f"inline(array({', '.join(member(*s) for s in sets)}))",
         )
         .groupBy(*names)
         .agg(*_sums(added))

@@ -35,6 +35,8 @@ def test_no_cross_join_and_no_python_in_tasks(spark, key):
         ("filter_eq", "EqualTo(o_custkey,42)"),
         ("filter_gt", "GreaterThan(l_quantity,45.0)"),
         ("filter_startswith", "StringStartsWith(c_name,Customer#0000001)"),
+        ("filter_in", "In(n_name, [NATION_0,NATION_1,NATION_2,NATION_3])"),
+        ("slice_school_type", "EqualTo(c_mktsegment,BUILDING)"),
     ],
 )
 def test_filters_reach_the_scan(spark, key, pushed):

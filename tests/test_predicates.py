@@ -28,6 +28,7 @@ def test_equal_values_come_as_text_or_number(df):
     assert _ids(df, p.equals(df, "n", 200)) == [2]
     assert _ids(df, p.equals(df, "rate", "1.5")) == [1]
     assert _ids(df, p.equals(df, "region", "North")) == [1]
+    assert _ids(df, p.equals(df, "mixed", 7)) == [1]
 
 
 def test_a_value_of_another_kind_matches_nothing(df):
@@ -59,7 +60,8 @@ def test_text_tests_also_on_numbers(df):
 
 
 def test_membership_presence_and_combination(df):
-    assert _ids(df, p.one_of("region", ["North", "South"])) == [1]
+    assert _ids(df, p.one_of(df, "region", ["North", "South"])) == [1]
+    assert _ids(df, p.one_of(df, "n", ["200", 10, "many"])) == [1, 2]
     assert _ids(df, p.present("region")) == [1, 4]
     assert _ids(df, p.present("region") & p.greater(df, "rate", 5)) == [4]
 
