@@ -61,7 +61,7 @@ def one_of(df: DataFrame, name: str, values: Sequence[object]) -> Column:
 
 def present(name: str) -> Column:
     """Neither NULL nor the text ``null``."""
-    return column(name).isNotNull() & (column(name) != NULL_TEXT)
+    return column(name).isNotNull() & (column(name).cast("string") != NULL_TEXT)
 
 
 def period_is(period: int, name: str = "time_period") -> Column:

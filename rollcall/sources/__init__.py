@@ -1,4 +1,5 @@
 from rollcall.sources.files import (
+    list_directories,
     list_files,
     read_csv,
     read_saved_csv,
@@ -9,6 +10,7 @@ from rollcall.sources.files import (
 )
 
 __all__ = [
+    "list_directories",
     "list_files",
     "read_csv",
     "read_saved_csv",

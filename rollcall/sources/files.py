@@ -67,19 +67,36 @@ def save(
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size in KB and modification time of every file under ``path``, contents unread."""
+    """Directory, name, size in KB and modification time of every file under ``path``.
+
+    The contents stay unread.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
         .select(
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("directory"),
+            F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"),
             (F.col("length") / 1024).alias("size_kb"),
             F.col("modificationTime").alias("modified"),
         )
     )
 
 
+def list_directories(spark: SparkSession, path: str) -> DataFrame:
+    """Files, their size in KB together and the latest change, per directory under ``path``."""
+    return (
+        list_files(spark, path)
+        .groupBy("directory")
+        .agg(
+            F.count("*").alias("file_count"),
+            F.sum("size_kb").alias("size_kb"),
+            F.max("modified").alias("modified"),
+        )
+    )
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows, size in KB and modification time of the files behind a file-based ``df``.
 

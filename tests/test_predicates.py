@@ -63,6 +63,7 @@ def test_membership_presence_and_combination(df):
     assert _ids(df, p.one_of(df, "region", ["North", "South"])) == [1]
     assert _ids(df, p.one_of(df, "n", ["200", 10, "many"])) == [1, 2]
     assert _ids(df, p.present("region")) == [1, 4]
+    assert _ids(df, p.present("n")) == [1, 2, 3]
     assert _ids(df, p.present("region") & p.greater(df, "rate", 5)) == [4]
 
 

@@ -151,3 +151,33 @@ def test_stored_table_is_read_back_from_the_shared_folder(spark):
     assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect()))
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(shared in file for file in stored.inputFiles())
+
+
+def test_directories_sum_their_files(spark, tmp_path):
+    for name, count in (("first", 3), ("second", 1)):
+        sources.save(spark.range(6).repartition(count), str(tmp_path / name), "parquet")
+    files = sources.list_files(spark, str(tmp_path)).collect()
+    found = {r["directory"]: r for r in sources.list_directories(spark, str(tmp_path)).collect()}
+    assert {name: r["file_count"] for name, r in found.items()} == {"first": 3, "second": 1}
+    for name, r in found.items():
+        sizes = [f["size_kb"] for f in files if f["directory"] == name]
+        assert r["size_kb"] == pytest.approx(sum(sizes)) and r["modified"] is not None
+
+
+class _Session:
+    """Stands for a session whose settings are the given ones."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default):
+        return self.settings.get(key, default)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sources.scratch_path(_Session(spark_master="yarn"), "x")
+    shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/")
+    assert sources.scratch_path(shared, "x").startswith("hdfs://shared/x-")
+    assert "rollcall-" in sources.scratch_path(_Session(spark_master="local[2]"), "x")
