@@ -114,7 +114,7 @@ WITH t AS (
 ), e AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
          count(*) OVER (PARTITION BY conv_id) AS turns,
-         21 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
+         22 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
                                     '<(\\*)\|', '<\1\\|', 'g')) + 2
            + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) AS chars
   FROM t
