@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,19 @@ _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+def session_of(df: DataFrame) -> SparkSession:
+    """The session of ``df``, whose Python workers can import this package from where the driver
+    has it (on a cluster the package is installed at the same path, or shipped with ``addPyFile``).
+    """
+    spark = df.sparkSession
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(":")
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([*filter(None, known), root])
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table with every column its files have."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

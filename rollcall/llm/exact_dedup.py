@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import lower_ascii
+from rollcall.llm.common import lower_ascii, session_of
 from rollcall.sources import store
 
 BUILDERS = 64
@@ -76,7 +76,7 @@ def with_repeat_flag(
     """``rows`` with a boolean column ``flag``: false where the 64-bit ``hashed`` is unique in
     ``rows`` for certain. No row moves. Reads ``rows`` three times (count, fill, test).
     """
-    spark = rows.sparkSession
+    spark = session_of(rows)
     wanted = 8 * max(rows.count(), 1 << 12)
     n_bits = min(1 << (wanted - 1).bit_length(), max_filter_bits)
     filled = (
@@ -117,8 +117,12 @@ def mark_duplicates(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) ->
     flagged = with_repeat_flag(digests, "maybe", F.xxhash64("text_sha256"), max_filter_bits)
     flagged = store(flagged, "exact_flagged")
     maybe = flagged.filter("maybe").drop("maybe")
-    groups = maybe.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+    # Stored, so that the join has an exchange of its own, which Spark can split at a hot text.
+    groups = store(
+        maybe.groupBy("text_sha256").agg(
+            F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        ),
+        "exact_groups",
     )
     single = flagged.filter("NOT maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
