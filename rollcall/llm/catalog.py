@@ -9,7 +9,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat_format, exact_dedup, line_dedup, near_dedup, warc
+from rollcall.llm import (
+    chat_format,
+    exact_dedup,
+    fingerprint,
+    language,
+    line_dedup,
+    near_dedup,
+    warc,
+)
 from rollcall.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +33,16 @@ def _query(function: Query) -> Query:
     return function
 
 
+@_query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.new_archive(read(spark, sf_dir, "pages"))
