@@ -16,6 +16,7 @@ from rollcall.llm import (
     language,
     line_dedup,
     near_dedup,
+    packing,
     warc,
 )
 from rollcall.llm.common import read
@@ -33,6 +34,20 @@ def _query(function: Query) -> Query:
     return function
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file is installed, on the driver and every executor alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")
+    )
+
+
 @_query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
