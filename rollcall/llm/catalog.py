@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
+    bpe,
     chat_format,
     exact_dedup,
     fingerprint,
@@ -58,6 +59,13 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = tokenizer_path("byte_bpe_50k.json")
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), tokenizer)
+    return bpe.digest(bpe.decode(encoded, tokenizer))
+
+
 @_query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.new_archive(read(spark, sf_dir, "pages"))
