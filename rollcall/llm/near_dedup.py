@@ -33,7 +33,7 @@ PERCENT = 75
 #: Least share of equal slots with which a pair of a crowded bucket is compared on full sets.
 LEAST_EQUAL = 0.55
 #: Rows of a bucket that one task compares with each other at most: a block and a stretch.
-QUERY_ROWS, STRETCH_ROWS = 256, 4096
+QUERY_ROWS, STRETCH_ROWS = 256, 1024
 BLOCK = 1 << 21
 
 
@@ -266,7 +266,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowded = store(banded.join(hubs, "bucket").distinct(), "near_buckets")
     pairs = store(crowded.filter("id <> hub").select("hub", "id").distinct(), "near_pairs")
     used = pairs.select(F.explode(F.array("hub", "id")).alias("doc_id")).distinct()
-    texts = store(rows.join(used, "doc_id", "left_semi"), "near_texts")
+    # Merged at any size: the ids of candidates grow with the documents.
+    texts = store(rows.join(used.hint("merge"), "doc_id", "left_semi"), "near_texts")
     links = (
         _verified(pairs, texts)
         .filter(_linked())
