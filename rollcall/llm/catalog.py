@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
@@ -18,6 +18,7 @@ from rollcall.llm import (
     line_dedup,
     near_dedup,
     packing,
+    quality,
     warc,
 )
 from rollcall.llm.common import read
@@ -35,6 +36,17 @@ def _query(function: Query) -> Query:
     return function
 
 
+def sites() -> dict[str, Column]:
+    """Documents have no address: the source is the host, source and language are the path."""
+    return {"host": F.col("source"), "path": F.concat_ws("/", "source", "lang")}
+
+
+@_query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels")
+    return quality.classify(read(spark, sf_dir, "documents"), labels, **sites())
+
+
 def tokenizer_path(name: str) -> str:
     """Where a public vocabulary file is installed, on the driver and every executor alike."""
     import public_tokenizers

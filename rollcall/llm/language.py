@@ -17,7 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import blocks, mix, session_of, text_buffers
@@ -124,43 +124,35 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return [row["lang"] for row in sums], _unit(prototypes).astype(np.float32)
 
 
-def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, *keep: str) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score`` (the cosine, at least 0)
-    from ``text`` alone. NULL texts, texts without a letter, and all texts if there is no
-    prototype are ``und`` with score 0. Ties go to the first language by name.
+def predict(text: Column, languages: list[str], prototypes: np.ndarray) -> Column:
+    """A struct of ``lang_pred`` and ``score`` (the cosine, at least 0) from ``text`` alone. NULL
+    texts, texts without a letter, and all texts if there is no prototype are ``und`` with score
+    0. Ties go to the first language by name.
     """
-    session_of(docs)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang_pred string, score double")
+    def score(texts: pa.Array) -> pa.Array:
         names = np.array([*languages, UNKNOWN], object)
-        for batch in batches:
-            column = batch.num_columns - 1
-            _, starts = text_buffers(batch.column(column))
-            for first, last in blocks(starts, _BLOCK):
-                part = batch.slice(first, last - first)
-                vectors = text_vectors([t or "" for t in part.column(column).to_pylist()])
-                lengths = np.linalg.norm(vectors, axis=1)
-                best, cosine = np.full(len(vectors), len(languages)), np.zeros(len(vectors))
-                some = lengths > 0
-                if some.any() and languages:
-                    cosines = vectors[some] @ prototypes.T / lengths[some, None]
-                    best[some], cosine[some] = cosines.argmax(axis=1), cosines.max(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *part.columns[:column],
-                        pa.array(names[best], pa.string()),
-                        pa.array(np.clip(cosine, 0, 1)),
-                    ],
-                    [*part.schema.names[:column], "lang_pred", "score"],
-                )
-
-    fields = [f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in keep]
-    return docs.select(*keep, "text").mapInArrow(
-        score, ", ".join([*fields, "lang_pred string", "score double"])
-    )
-
-
-def held_out(doc_id: str = "doc_id"):
+        best, cosine = np.full(len(texts), len(languages)), np.zeros(len(texts))
+        _, starts = text_buffers(texts)
+        for first, last in blocks(starts, _BLOCK):
+            part = texts.slice(first, last - first).to_pylist()
+            vectors = text_vectors([t or "" for t in part])
+            lengths = np.linalg.norm(vectors, axis=1)
+            some = np.flatnonzero(lengths > 0)
+            if len(some) and languages:
+                cosines = vectors[some] @ prototypes.T / lengths[some, None]
+                best[first + some] = cosines.argmax(axis=1)
+                cosine[first + some] = cosines.max(axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(names[best], pa.string()), pa.array(np.clip(cosine, 0, 1))],
+            ["lang_pred", "score"],
+        )
+
+    return score(text)
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that training must not see; a NULL id counts as empty text."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(F.encode(key, "UTF-8")) % 4 == 2
@@ -172,6 +164,20 @@ def identify(docs: DataFrame) -> DataFrame:
     Prototypes come from the rows that are not held out. NULL ``lang`` teaches nothing. Repeated
     rows are predicted each. No rows give no rows. Other columns are not read.
     """
+    session_of(docs)
     marked = docs.select("doc_id", held_out().alias("held_out"), "text", "lang")
     model = train(marked.filter("NOT held_out"))
-    return predict(marked, *model, "doc_id", "held_out")
+    return marked.select(
+        "doc_id", "held_out", predict(F.col("text"), *model).alias("found")
+    ).select("doc_id", "held_out", "found.*")
+
+
+def keep_known(docs: DataFrame, least_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text resembles a language of ``docs`` with a
+    cosine of at least ``least_score``; texts that are ``und`` go. Prototypes come from all rows
+    with a ``lang``.
+    """
+    found = predict(docs["text"], *train(docs))
+    packed = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    known = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_score)
+    return packed.filter(known).select("row.*")

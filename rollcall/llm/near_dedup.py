@@ -294,3 +294,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: one document of each
+    component, and every row with a NULL ``doc_id``.
+    """
+    dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("dropped"))
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
