@@ -1,7 +1,7 @@
 """The same queries as SQL over the same tables, for an independent check.
 
 ``MART`` states the stacked table with plain grouping sets; each query builds on it or reads
-the base tables. A query without SQL here shows file names, sizes and times, which SQL does not.
+the base tables.
 """
 
 from __future__ import annotations
@@ -65,21 +65,17 @@ mart AS (
     (period, r_name, n_name, c_name, c_mktsegment)))
 """
 
-UNCLEAN = f"""{MART},
-numbered AS (
-  SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY time_period, geographic_level,
-    COALESCE(region_name, ''), school_type) AS INTEGER) AS row_id
-  FROM mart WHERE geographic_level IN ('National', 'Regional')),
+UNCLEAN = """
 unclean AS (
-  SELECT row_id,
-    CASE WHEN row_id % 11 = 0 THEN 'null' ELSE region_name END AS region_name,
-    CASE WHEN row_id % 7 <> 0 THEN CAST(enrolments AS INTEGER) END AS enrolments_i,
-    CASE WHEN row_id % 5 <> 0 THEN sess_possible END AS sess_possible_l,
-    CASE WHEN row_id % 13 <> 0
-         THEN ROUND(100.0::DOUBLE * sess_overall / sess_possible, 6) END AS rate_d,
-    CASE WHEN row_id % 9 = 0 THEN NULL WHEN row_id % 6 = 0 THEN ':'
-         ELSE CAST(sess_auth_study AS VARCHAR) END AS study_s
-  FROM numbered)
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_orderkey % 11 = 0 THEN 'null' WHEN l_orderkey % 17 <> 0 THEN l_returnflag END
+      AS flag_s,
+    CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_quantity AS INTEGER) END AS quantity_i,
+    CASE WHEN l_orderkey % 5 <> 0 THEN l_partkey END AS part_l,
+    CASE WHEN l_orderkey % 13 <> 0 THEN l_extendedprice END AS price_d,
+    CASE WHEN l_orderkey % 9 = 0 THEN NULL WHEN l_orderkey % 6 = 0 THEN ':'
+         ELSE CAST(l_suppkey AS VARCHAR) END AS supplier_s
+  FROM lineitem)
 """
 
 _CELLS = f"""{MART},
@@ -133,18 +129,23 @@ _LA_TOTAL = "geographic_level = 'Local authority' AND school_type = 'Total'"
 _BUILDING = "geographic_level = 'School' AND school_type = 'BUILDING'"
 _FOUR = "la_name IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3')"
 _PERIODS = (199596, 199697, 199798, 199899, 199900, 200001, 200102)
-_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+_ORDERS = (
+    "o_orderkey, o_custkey, o_orderstatus, o_totalprice,"
+    " strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority"
+)
 _LINES = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,"
-    " l_tax, l_returnflag, l_linestatus"
+    " l_tax, l_returnflag, l_linestatus,"
+    " strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate"
 )
 _UNCLEAN_COLUMNS = (
-    "row_id",
-    "region_name",
-    "enrolments_i",
-    "sess_possible_l",
-    "rate_d",
-    "study_s",
+    "l_orderkey",
+    "l_linenumber",
+    "flag_s",
+    "quantity_i",
+    "part_l",
+    "price_d",
+    "supplier_s",
 )
 
 
@@ -170,6 +171,12 @@ _LINE_NUMBERS = (
     "l_tax",
 )
 
+# The tables of a data directory.
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["attendance_mart"] = f"WITH {MART} SELECT * FROM mart"
@@ -179,13 +186,25 @@ ORACLES["attendance_mart"] = f"WITH {MART} SELECT * FROM mart"
 # Inferred types: a column whose values fit 32 bits comes back as INTEGER.
 ORACLES["scan_csv_raw"] = """
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
-  o_orderstatus, o_totalprice, o_orderpriority FROM orders"""
-# Writing CSV drops blanks at both ends of a text; an empty text comes back as NULL.
+  o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+  o_orderpriority FROM orders"""
 ORACLES["scan_csv_saved"] = """
-SELECT CAST(doc_id AS INTEGER) AS doc_id, NULLIF(TRIM(text), '') AS text, lang, source,
+SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang, source,
   CAST(n_chars AS INTEGER) AS n_chars FROM documents"""
 for _sink in ("sink_csv", "sink_parquet", "sink_json"):
-    ORACLES[_sink] = f"WITH {MART} SELECT {_COLUMNS} FROM mart"
+    ORACLES[_sink] = f"WITH {MART} SELECT * FROM mart"
+# In the data compared, each table is one file.
+ORACLES["source_file_inventory"] = _each(
+    "SELECT '{v}' AS table_name, CAST(1 AS BIGINT) AS file_count, COUNT(*) AS row_count,"
+    " true AS sized, true AS timed FROM {v}",
+    _TABLES,
+)
+ORACLES["list_files"] = """
+SELECT DISTINCT 'n_regionkey=' || n_regionkey AS directory, true AS is_parquet, true AS sized,
+  true AS timed FROM nation"""
+ORACLES["list_directories"] = """
+SELECT DISTINCT 'n_regionkey=' || n_regionkey AS directory, CAST(1 AS BIGINT) AS file_count,
+  true AS sized, true AS timed FROM nation"""
 ORACLES["sink_mode_append"] = "SELECT * FROM customer UNION ALL SELECT * FROM customer"
 ORACLES["sink_mode_overwrite"] = "SELECT * FROM customer"
 
@@ -204,12 +223,13 @@ ORACLES["null_profile"] = (
     f"WITH {UNCLEAN} SELECT * FROM ({_profile}) AS p WHERE null_count > 0"
 )
 ORACLES["table_status"] = """
-SELECT COUNT(*) AS row_count, CAST(11 AS BIGINT) AS column_count FROM lineitem"""
+SELECT COUNT(*) AS row_count, (SELECT COUNT(*) FROM (DESCRIBE lineitem)) AS column_count
+FROM lineitem"""
 ORACLES["preview"] = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
   LEAST(CAST(5 AS BIGINT), (SELECT COUNT(*) FROM lineitem)) AS shown_rows,
   (SELECT COUNT(*) FROM lineitem) AS total_rows,
-  CAST(6 AS BIGINT) AS shown_columns, CAST(11 AS BIGINT) AS total_columns
+  CAST(6 AS BIGINT) AS shown_columns, (SELECT COUNT(*) FROM (DESCRIBE lineitem)) AS total_columns
 FROM lineitem
 ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
   l_tax, l_returnflag, l_linestatus, l_shipdate
@@ -217,7 +237,8 @@ LIMIT 5"""
 ORACLES["numeric_summary"] = _each(
     "SELECT '{v}' AS column_name, COUNT({v}) AS non_null_count, ROUND(AVG({v}), 6) AS mean,"
     " ROUND(CAST(MIN({v}) AS DOUBLE), 6) AS minimum,"
-    " ROUND(CAST(MAX({v}) AS DOUBLE), 6) AS maximum FROM lineitem",
+    " ROUND(CAST(MAX({v}) AS DOUBLE), 6) AS maximum, CAST(MIN({v}) AS VARCHAR) AS minimum_exact,"
+    " CAST(MAX({v}) AS VARCHAR) AS maximum_exact FROM lineitem",
     _LINE_NUMBERS,
 )
 ORACLES["distinct_values"] = f"""
@@ -237,53 +258,53 @@ WITH {_CELLS} SELECT COUNT(DISTINCT school_type) AS school_type_count,
 # --- cleaning ------------------------------------------------------------------------------
 
 ORACLES["fill_null_numeric"] = f"""
-WITH {UNCLEAN} SELECT row_id, region_name, COALESCE(enrolments_i, -1) AS enrolments_i,
-  sess_possible_l, rate_d, study_s FROM unclean"""
+WITH {UNCLEAN} SELECT l_orderkey, l_linenumber, flag_s, COALESCE(quantity_i, -1) AS quantity_i,
+  part_l, price_d, supplier_s FROM unclean"""
 ORACLES["fill_null_text"] = f"""
-WITH {UNCLEAN} SELECT row_id, COALESCE(region_name, 'MISSING') AS region_name, enrolments_i,
-  sess_possible_l, rate_d, COALESCE(study_s, 'MISSING') AS study_s FROM unclean"""
+WITH {UNCLEAN} SELECT l_orderkey, l_linenumber, COALESCE(flag_s, 'MISSING') AS flag_s, quantity_i,
+  part_l, price_d, COALESCE(supplier_s, 'MISSING') AS supplier_s FROM unclean"""
 ORACLES["replace_suppressed"] = f"""
-WITH {UNCLEAN} SELECT row_id,
-  CASE WHEN region_name = ':' AND (SELECT COUNT(*) - COUNT(region_name) FROM unclean) > 0
-       THEN '-1' ELSE region_name END AS region_name,
-  enrolments_i, sess_possible_l, rate_d,
-  CASE WHEN study_s = ':' AND (SELECT COUNT(*) - COUNT(study_s) FROM unclean) > 0
-       THEN '-1' ELSE study_s END AS study_s FROM unclean"""
+WITH {UNCLEAN} SELECT l_orderkey, l_linenumber,
+  CASE WHEN flag_s = ':' AND (SELECT COUNT(*) - COUNT(flag_s) FROM unclean) > 0
+       THEN '-1' ELSE flag_s END AS flag_s,
+  quantity_i, part_l, price_d,
+  CASE WHEN supplier_s = ':' AND (SELECT COUNT(*) - COUNT(supplier_s) FROM unclean) > 0
+       THEN '-1' ELSE supplier_s END AS supplier_s FROM unclean"""
 ORACLES["clean_nulls"] = f"""
-WITH {UNCLEAN} SELECT row_id,
-  CASE WHEN region_name = ':' AND (SELECT COUNT(*) - COUNT(region_name) FROM unclean) > 0
-       THEN '-1' ELSE COALESCE(region_name, 'MISSING') END AS region_name,
-  COALESCE(enrolments_i, -1) AS enrolments_i, sess_possible_l, rate_d,
-  CASE WHEN study_s = ':' AND (SELECT COUNT(*) - COUNT(study_s) FROM unclean) > 0
-       THEN '-1' ELSE COALESCE(study_s, 'MISSING') END AS study_s FROM unclean"""
+WITH {UNCLEAN} SELECT l_orderkey, l_linenumber,
+  CASE WHEN flag_s = ':' AND (SELECT COUNT(*) - COUNT(flag_s) FROM unclean) > 0
+       THEN '-1' ELSE COALESCE(flag_s, 'MISSING') END AS flag_s,
+  COALESCE(quantity_i, -1) AS quantity_i, part_l, price_d,
+  CASE WHEN supplier_s = ':' AND (SELECT COUNT(*) - COUNT(supplier_s) FROM unclean) > 0
+       THEN '-1' ELSE COALESCE(supplier_s, 'MISSING') END AS supplier_s FROM unclean"""
 ORACLES["remaining_nulls"] = f"""
 WITH {UNCLEAN},
 cleaned AS (
-  SELECT COALESCE(region_name, 'MISSING') AS region_name,
-    COALESCE(enrolments_i, -1) AS enrolments_i, sess_possible_l, rate_d,
-    COALESCE(study_s, 'MISSING') AS study_s FROM unclean)
+  SELECT COALESCE(flag_s, 'MISSING') AS flag_s,
+    COALESCE(quantity_i, -1) AS quantity_i, part_l, price_d,
+    COALESCE(supplier_s, 'MISSING') AS supplier_s FROM unclean)
 """ + _each(
     "SELECT '{v}' AS column_name, COUNT(*) - COUNT({v}) AS remaining_nulls FROM cleaned"
     " HAVING (SELECT COUNT(*) - COUNT({v}) FROM unclean) > 0",
-    _UNCLEAN_COLUMNS[1:],
+    _UNCLEAN_COLUMNS[2:],
 )
 ORACLES["suppressed_to_number"] = f"""
-WITH {UNCLEAN} SELECT CAST(SUM(TRY_CAST(study_s AS BIGINT)) AS BIGINT) AS study_s_sum
+WITH {UNCLEAN} SELECT CAST(SUM(TRY_CAST(supplier_s AS BIGINT)) AS BIGINT) AS supplier_s_sum
 FROM unclean"""
 
 # --- filters and projections ---------------------------------------------------------------
 
 ORACLES["filter_eq"] = f"SELECT {_ORDERS} FROM orders WHERE o_custkey = 42"
-ORACLES["filter_ne"] = f"WITH {UNCLEAN} SELECT * FROM unclean WHERE region_name <> 'ASIA'"
+ORACLES["filter_ne"] = f"WITH {UNCLEAN} SELECT * FROM unclean WHERE flag_s <> 'R'"
 ORACLES["filter_gt"] = f"SELECT {_LINES} FROM lineitem WHERE l_quantity > 45"
 ORACLES["filter_lt"] = f"""
-WITH {UNCLEAN} SELECT * FROM unclean WHERE TRY_CAST(study_s AS DOUBLE) < 400"""
+WITH {UNCLEAN} SELECT * FROM unclean WHERE TRY_CAST(supplier_s AS DOUBLE) < 40"""
 ORACLES["filter_contains"] = f"""
 SELECT {_ORDERS} FROM orders WHERE CAST(o_custkey AS VARCHAR) LIKE '%99%'"""
 ORACLES["filter_startswith"] = "SELECT * FROM customer WHERE c_name LIKE 'Customer#0000001%'"
 ORACLES["filter_in"] = f"WITH {MART} SELECT {_COLUMNS} FROM mart WHERE {_LA_TOTAL} AND {_FOUR}"
 ORACLES["filter_present"] = f"""
-WITH {UNCLEAN} SELECT * FROM unclean WHERE region_name IS NOT NULL AND region_name <> 'null'"""
+WITH {UNCLEAN} SELECT * FROM unclean WHERE flag_s IS NOT NULL AND flag_s <> 'null'"""
 ORACLES["slice_level_total"] = f"WITH {MART} SELECT {_COLUMNS} FROM mart WHERE {_LA_TOTAL}"
 ORACLES["slice_level_by_type"] = f"""
 WITH {MART} SELECT {_COLUMNS} FROM mart
@@ -299,23 +320,36 @@ ORACLES["project_columns"] = "SELECT l_orderkey, l_quantity FROM lineitem"
 
 # --- enrolment and absence -----------------------------------------------------------------
 
-_years = ", ".join(
-    f"CAST(COALESCE(SUM(enrolments) FILTER (WHERE time_period = {p}), 0) AS BIGINT) AS y{p}"
-    for p in _PERIODS
-)
-ORACLES["enrolment_by_la_year"] = f"""
-WITH {MART} SELECT la_name, {_years}, CAST(SUM(enrolments) AS BIGINT) AS total
-FROM mart WHERE {_LA_TOTAL} AND {_FOUR} GROUP BY la_name"""
+def _enrolments(periods: tuple[int, ...]) -> str:
+    """SQL must spell the columns out; the query finds them."""
+    years = ", ".join(
+        f"CAST(COALESCE(SUM(enrolments) FILTER (WHERE time_period = {p}), 0) AS BIGINT) AS y{p}"
+        for p in periods
+    )
+    return f"""
+WITH {MART} SELECT la_name, {years}, CAST(SUM(enrolments) AS BIGINT) AS total
+FROM mart WHERE {_LA_TOTAL} AND {_FOUR} AND time_period BETWEEN {periods[0]} AND {periods[-1]}
+GROUP BY la_name"""
+
+
+ORACLES["enrolment_by_la_year"] = _enrolments(_PERIODS)
+ORACLES["enrolment_one_year"] = _enrolments(_PERIODS[1:2])
+ORACLES["enrolment_year_range"] = _enrolments(_PERIODS[1:4])
 ORACLES["enrolment_year_summary"] = f"""
 WITH {MART} SELECT time_period, CAST(SUM(enrolments) AS BIGINT) AS total_enrolments,
   ROUND(SUM(enrolments)::DOUBLE / 4, 6) AS average_per_la
 FROM mart WHERE {_LA_TOTAL} AND {_FOUR} GROUP BY time_period"""
-ORACLES["authorised_absence_by_year"] = f"""
+for _key, _schools in (
+    ("authorised_absence_by_year", _BUILDING),
+    ("authorised_absence_all_types", "geographic_level = 'School'"),
+):
+    ORACLES[_key] = f"""
 WITH {MART} SELECT time_period, CAST(SUM(sess_authorised) AS BIGINT) AS total_absences,
   CAST(SUM(enrolments) AS BIGINT) AS total_enrolments,
   {_ratio("SUM(sess_authorised)", "SUM(enrolments)")} AS absences_per_student
-FROM mart WHERE {_BUILDING} GROUP BY time_period"""
+FROM mart WHERE {_schools} GROUP BY time_period"""
 
+# Labels in the results, here and below for the comparison of authorities.
 _REASON_LABELS = (
     ("sess_auth_appointments", "Medical appointments"),
     ("sess_auth_holiday", "Authorised holiday"),
@@ -512,12 +546,7 @@ ORACLES["regional_extremes"] = f"WITH {_PERFORMANCE} " + " UNION ALL ".join(
 
 # --- sorting and limits --------------------------------------------------------------------
 
-ORACLES["sort_asc"] = f"""
-WITH {MART} SELECT region_name, la_name, time_period, enrolments,
-  CAST(ROW_NUMBER() OVER (ORDER BY region_name, la_name, time_period) AS INTEGER) AS position
-FROM mart WHERE {_LA_TOTAL}"""
+ORACLES["sort_asc"] = f"SELECT {_ORDERS} FROM orders ORDER BY o_orderpriority, o_orderkey"
 ORACLES["sort_desc"] = f"""
-WITH {MART} SELECT la_name, time_period, enrolments,
-  CAST(ROW_NUMBER() OVER (ORDER BY enrolments DESC, la_name, time_period) AS INTEGER) AS position
-FROM mart WHERE {_LA_TOTAL}"""
+SELECT {_LINES} FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber"""
 ORACLES["limit_n"] = f"SELECT {_ORDERS} FROM orders ORDER BY o_orderkey LIMIT 10"

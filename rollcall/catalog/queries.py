@@ -7,12 +7,13 @@ of ``oracles.py``; the operators themselves return exact values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from rollcall import sources
+from rollcall.functions import column
 from rollcall.operators import (
     absence,
     cleaning,
@@ -26,7 +27,7 @@ from rollcall.operators import (
 from rollcall.plans import (
     LEVELS,
     MART_SCHEMA,
-    build_unclean_extract,
+    build_unclean_lines,
     load_attendance_mart,
     read_table,
 )
@@ -40,8 +41,13 @@ PAIR = ("NATION_0", "NATION_1")
 YEAR = 199697
 YEAR_RANGE = (199697, 199899)
 SCHOOL_TYPE = "BUILDING"
-PERIODS = (199596, 199697, 199798, 199899, 199900, 200001, 200102)
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+ROWS_PER_CSV_FILE = 200_000
+ONE_YEAR = (YEAR, YEAR)
+# The tables of a data directory.
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def _query(function: Query) -> Query:
@@ -53,9 +59,14 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
-def _numbered(df: DataFrame, *order: object) -> DataFrame:
-    """Make the order of a small aggregated result visible as a column."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+def _dated(df: DataFrame, name: str) -> DataFrame:
+    """A time as text, which compares alike in both systems."""
+    return df.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+
+
+def _as_stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with the columns that its own files have, declared or not."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- the stacked table ---------------------------------------------------------------------
@@ -66,28 +77,28 @@ def attendance_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_attendance_mart(spark, sf_dir, LEVELS, school_counts=True)
 
 
-def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_attendance_mart(spark, sf_dir, ("Regional",))
+def _regional(spark: SparkSession, sf_dir: str, periods: Periods = None) -> DataFrame:
+    return load_attendance_mart(spark, sf_dir, ("Regional",), periods=periods)
 
 
-def _authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_attendance_mart(spark, sf_dir, ("Local authority",))
+Periods = tuple[int, int] | None
 
 
-def _authority_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predicates.level_total(_authorities(spark, sf_dir), "Local authority")
+def _authority_totals(spark: SparkSession, sf_dir: str, periods: Periods = None) -> DataFrame:
+    mart = load_attendance_mart(spark, sf_dir, ("Local authority",), periods=periods)
+    return predicates.level_total(mart, "Local authority")
 
 
-def _schools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_attendance_mart(spark, sf_dir, ("School",))
+def _schools(spark: SparkSession, sf_dir: str, periods: Periods = None) -> DataFrame:
+    return load_attendance_mart(spark, sf_dir, ("School",), periods=periods)
 
 
 def _unclean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_unclean_extract(load_attendance_mart(spark, sf_dir, ("National", "Regional")))
+    return build_unclean_lines(read_table(spark, sf_dir, "lineitem"))
 
 
-def _typed_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predicates.school_rows(_schools(spark, sf_dir), SCHOOL_TYPE)
+def _typed_schools(spark: SparkSession, sf_dir: str, periods: Periods = None) -> DataFrame:
+    return predicates.school_rows(_schools(spark, sf_dir, periods), SCHOOL_TYPE)
 
 
 # --- sources and sinks: written to a shared scratch path and read back ---------------------
@@ -96,8 +107,8 @@ def _typed_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def scan_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.scratch_path(spark, "scan_csv_raw")
-    read_table(spark, sf_dir, "orders").drop("o_orderdate").write.option("header", True).csv(path)
-    return sources.read_csv(spark, path)
+    read_table(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    return _dated(sources.read_csv(spark, path), "o_orderdate")
 
 
 @_query
@@ -109,40 +120,78 @@ def scan_csv_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def source_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("lineitem", "orders", "customer", "nation", "region")
-    counted = [sources.rows_per_file(read_table(spark, sf_dir, name)) for name in names]
-    stacked = counted[0]
-    for other in counted[1:]:
-        stacked = stacked.unionByName(other)
-    return stacked
+    """Per table: its files, their rows, and whether size and time of all of them are known."""
+    counted = [
+        sources.rows_per_file(_as_stored(spark, sf_dir, name)).select(
+            F.lit(name).alias("table_name"), "row_count", "size_kb", "modified"
+        )
+        for name in TABLES
+    ]
+    return (
+        reduce(DataFrame.unionByName, counted)
+        .groupBy("table_name")
+        .agg(
+            F.count("*").alias("file_count"),
+            F.sum("row_count").alias("row_count"),
+            F.bool_and(F.col("size_kb") > 0).alias("sized"),
+            F.bool_and(F.col("modified").isNotNull()).alias("timed"),
+        )
+    )
 
 
-def _saved_mart(spark: SparkSession, sf_dir: str, label: str, file_format: str, *modes: str) -> str:
+def _nations_by_region(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """A saved table with one directory per region and one file in each."""
     path = sources.scratch_path(spark, label)
-    for mode in modes:
-        sources.save(load_attendance_mart(spark, sf_dir), path, file_format, mode)
+    nation = read_table(spark, sf_dir, "nation").repartition("n_regionkey")
+    sources.save(nation, path, "parquet", partition_by=["n_regionkey"])
     return path
 
 
-_SAVED_SCHEMA = StructType([field for field in MART_SCHEMA if field.name != "num_schools"])
+@_query
+def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = sources.list_files(spark, _nations_by_region(spark, sf_dir, "list_files"))
+    return files.select(
+        "directory",
+        F.col("file_name").endswith(".parquet").alias("is_parquet"),
+        (F.col("size_kb") > 0).alias("sized"),
+        F.col("modified").isNotNull().alias("timed"),
+    )
+
+
+@_query
+def list_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _nations_by_region(spark, sf_dir, "list_directories")
+    return sources.list_directories(spark, path).select(
+        "directory",
+        "file_count",
+        (F.col("size_kb") > 0).alias("sized"),
+        F.col("modified").isNotNull().alias("timed"),
+    )
+
+
+def _saved_mart(spark: SparkSession, sf_dir: str, label: str, file_format: str, **more: int) -> str:
+    path = sources.scratch_path(spark, label)
+    mart = load_attendance_mart(spark, sf_dir, school_counts=True)
+    sources.save(mart, path, file_format, **more)
+    return path
 
 
 @_query
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _saved_mart(spark, sf_dir, "sink_csv", "csv", "errorifexists")
-    return sources.read_saved_csv(spark, path, _SAVED_SCHEMA)
+    path = _saved_mart(spark, sf_dir, "sink_csv", "csv", rows_per_file=ROWS_PER_CSV_FILE)
+    return sources.read_saved_csv(spark, path, MART_SCHEMA)
 
 
 @_query
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _saved_mart(spark, sf_dir, "sink_parquet", "parquet", "errorifexists")
-    return spark.read.schema(_SAVED_SCHEMA).parquet(path)
+    path = _saved_mart(spark, sf_dir, "sink_parquet", "parquet")
+    return spark.read.schema(MART_SCHEMA).parquet(path)
 
 
 @_query
 def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _saved_mart(spark, sf_dir, "sink_json", "json", "errorifexists")
-    return spark.read.schema(_SAVED_SCHEMA).json(path)
+    path = _saved_mart(spark, sf_dir, "sink_json", "json")
+    return spark.read.schema(MART_SCHEMA).json(path)
 
 
 @_query
@@ -176,18 +225,19 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.table_status(read_table(spark, sf_dir, "lineitem"))
+    return profile.table_status(_as_stored(spark, sf_dir, "lineitem"))
 
 
 @_query
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    return profile.preview(lineitem, order_by=lineitem.columns)
+    # Ordered by what is shown: rows that tie look the same, and only six columns are read.
+    lineitem = _as_stored(spark, sf_dir, "lineitem")
+    return profile.preview(lineitem, order_by=lineitem.columns[:6])
 
 
 @_query
 def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = profile.numeric_summary(read_table(spark, sf_dir, "lineitem"))
+    summary = profile.numeric_summary(_as_stored(spark, sf_dir, "lineitem"))
     return _rounded(summary, "mean", "minimum", "maximum")
 
 
@@ -243,7 +293,7 @@ def remaining_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def suppressed_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.suppressed_sum(_unclean(spark, sf_dir), "study_s")
+    return cleaning.suppressed_sum(_unclean(spark, sf_dir), "supplier_s")
 
 
 # --- filters and projections ---------------------------------------------------------------
@@ -251,32 +301,32 @@ def suppressed_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").drop("o_orderdate")
-    return orders.filter(predicates.equals(orders, "o_custkey", "42"))
+    orders = read_table(spark, sf_dir, "orders")
+    return _dated(orders.filter(predicates.equals(orders, "o_custkey", "42")), "o_orderdate")
 
 
 @_query
 def filter_ne(spark: SparkSession, sf_dir: str) -> DataFrame:
     unclean = _unclean(spark, sf_dir)
-    return unclean.filter(predicates.differs(unclean, "region_name", "ASIA"))
+    return unclean.filter(predicates.differs(unclean, "flag_s", "R"))
 
 
 @_query
 def filter_gt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem").drop("l_shipdate")
-    return lineitem.filter(predicates.greater(lineitem, "l_quantity", "45"))
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    return _dated(lineitem.filter(predicates.greater(lineitem, "l_quantity", "45")), "l_shipdate")
 
 
 @_query
 def filter_lt(spark: SparkSession, sf_dir: str) -> DataFrame:
     unclean = _unclean(spark, sf_dir)
-    return unclean.filter(predicates.less(unclean, "study_s", "400"))
+    return unclean.filter(predicates.less(unclean, "supplier_s", "40"))
 
 
 @_query
 def filter_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").drop("o_orderdate")
-    return orders.filter(predicates.contains("o_custkey", "99"))
+    orders = read_table(spark, sf_dir, "orders")
+    return _dated(orders.filter(predicates.contains("o_custkey", "99")), "o_orderdate")
 
 
 @_query
@@ -293,7 +343,7 @@ def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unclean(spark, sf_dir).filter(predicates.present("region_name"))
+    return _unclean(spark, sf_dir).filter(predicates.present("flag_s"))
 
 
 @_query
@@ -313,12 +363,13 @@ def slice_school_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def period_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_schools(spark, sf_dir).filter(predicates.period_is(YEAR))
+    return _typed_schools(spark, sf_dir, ONE_YEAR).filter(predicates.period_is(YEAR))
 
 
 @_query
 def period_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_schools(spark, sf_dir).filter(predicates.period_between(*YEAR_RANGE))
+    schools = _typed_schools(spark, sf_dir, YEAR_RANGE)
+    return schools.filter(predicates.period_between(*YEAR_RANGE))
 
 
 @_query
@@ -332,7 +383,20 @@ def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def enrolment_by_la_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = _authority_totals(spark, sf_dir)
-    return enrolment.enrolment_by_authority_and_year(totals, AUTHORITIES, PERIODS)
+    return enrolment.enrolment_by_authority_and_year(totals, AUTHORITIES)
+
+
+@_query
+def enrolment_one_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = _authority_totals(spark, sf_dir, ONE_YEAR).filter(predicates.period_is(YEAR))
+    return enrolment.enrolment_by_authority_and_year(totals, AUTHORITIES)
+
+
+@_query
+def enrolment_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = _authority_totals(spark, sf_dir, YEAR_RANGE)
+    totals = totals.filter(predicates.period_between(*YEAR_RANGE))
+    return enrolment.enrolment_by_authority_and_year(totals, AUTHORITIES)
 
 
 @_query
@@ -347,49 +411,57 @@ def authorised_absence_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(by_year, "absences_per_student")
 
 
+@_query
+def authorised_absence_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schools = predicates.school_rows(_schools(spark, sf_dir), None)
+    return _rounded(absence.authorised_absence_by_year(schools), "absences_per_student")
+
+
 @_query
 def authorised_reason_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reasons = absence.authorised_reason_breakdown(_typed_schools(spark, sf_dir), YEAR)
+    reasons = absence.authorised_reason_breakdown(_typed_schools(spark, sf_dir, ONE_YEAR), YEAR)
     return _rounded(reasons, "percent_of_authorised", "sessions_per_student")
 
 
 @_query
 def authorised_reason_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return absence.authorised_reason_totals(_typed_schools(spark, sf_dir), YEAR)
+    return absence.authorised_reason_totals(_typed_schools(spark, sf_dir, ONE_YEAR), YEAR)
 
 
 @_query
 def unauthorised_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = predicates.level_total(_regional(spark, sf_dir), "Regional")
+    totals = predicates.level_total(_regional(spark, sf_dir, ONE_YEAR), "Regional")
     areas = absence.unauthorised_by_area(totals, "region_name", YEAR)
     return _rounded(areas, "percent_of_all", "sessions_per_student")
 
 
 @_query
 def unauthorised_by_la(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas = absence.unauthorised_by_area(_authority_totals(spark, sf_dir), "la_name", YEAR)
+    totals = _authority_totals(spark, sf_dir, ONE_YEAR)
+    areas = absence.unauthorised_by_area(totals, "la_name", YEAR)
     return _rounded(areas, "percent_of_all", "sessions_per_student")
 
 
 @_query
 def unauthorised_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    overall = absence.unauthorised_overall(_authority_totals(spark, sf_dir), "la_name", YEAR)
+    totals = _authority_totals(spark, sf_dir, ONE_YEAR)
+    overall = absence.unauthorised_overall(totals, "la_name", YEAR)
     return _rounded(overall, "overall_sessions_per_student")
 
 
 @_query
 def la_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.authority_presence(_authority_totals(spark, sf_dir), *PAIR, YEAR)
+    return comparison.authority_presence(_authority_totals(spark, sf_dir, ONE_YEAR), *PAIR, YEAR)
 
 
 @_query
 def la_compare_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.compare_totals(_authority_totals(spark, sf_dir), *PAIR, YEAR)
+    return comparison.compare_totals(_authority_totals(spark, sf_dir, ONE_YEAR), *PAIR, YEAR)
 
 
 @_query
 def la_compare_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = comparison.compare_rates(_authority_totals(spark, sf_dir), *PAIR, YEAR)
+    rates = comparison.compare_rates(_authority_totals(spark, sf_dir, ONE_YEAR), *PAIR, YEAR)
     return _rounded(rates, "value_1", "value_2", "difference")
 
 
@@ -438,10 +510,15 @@ def absence_conclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def absence_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heatmap = patterns.absence_heatmap(_cells(spark, sf_dir), REGIONS)
+    # One row per region of the world: bounded by geography, not by the data.
+    regions = [row[0] for row in read_table(spark, sf_dir, "region").select("r_name").collect()]
+    heatmap = patterns.absence_heatmap(_cells(spark, sf_dir), regions)
     return heatmap.select(
         "school_type",
-        *[F.round(name, 6).alias(name.lower().replace(" ", "_")) for name in REGIONS],
+        *[
+            F.round(column(name), 6).alias(name.lower().replace(" ", "_"))
+            for name in heatmap.columns[1:]
+        ],
     )
 
 
@@ -494,19 +571,17 @@ def regional_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def sort_asc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = ("region_name", "la_name", "time_period")
-    rows = _authority_totals(spark, sf_dir).select(*order, "enrolments")
-    return _numbered(rows, *order).orderBy(*order)
+    orders = _dated(read_table(spark, sf_dir, "orders"), "o_orderdate")
+    return orders.orderBy("o_orderpriority", "o_orderkey")
 
 
 @_query
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = (F.col("enrolments").desc(), F.col("la_name"), F.col("time_period"))
-    rows = _authority_totals(spark, sf_dir).select("la_name", "time_period", "enrolments")
-    return _numbered(rows, *order).orderBy(*order)
+    lines = _dated(read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return lines.orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber")
 
 
 @_query
 def limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").drop("o_orderdate")
-    return orders.orderBy("o_orderkey").limit(10)
+    orders = read_table(spark, sf_dir, "orders")
+    return _dated(orders.orderBy("o_orderkey").limit(10), "o_orderdate")

@@ -74,10 +74,12 @@ def replace_suppressed(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return _change(df, _unsuppressed(df, columns))
 
 
-def clean_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The three steps above in one projection."""
+def clean_nulls(df: DataFrame, suppressed: Sequence[str] | None = None) -> DataFrame:
+    """The three steps above in one projection. NULLs are filled in every column; ``suppressed``
+    names the columns of the third step only, as in ``replace_suppressed``.
+    """
     texts = {name: column(name) for name in _of_type(df, StringType)}
-    changes = {n: _filled_text(v) for n, v in {**texts, **_unsuppressed(df, columns)}.items()}
+    changes = {n: _filled_text(v) for n, v in {**texts, **_unsuppressed(df, suppressed)}.items()}
     changes.update({name: _filled_number(name) for name in _of_type(df, IntegerType)})
     return _change(df, changes)
 

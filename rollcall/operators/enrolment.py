@@ -10,21 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import column, or_zero, total
+from rollcall.sources import store
 
 
 def enrolment_by_authority_and_year(
-    df: DataFrame,
-    authorities: Sequence[str],
-    periods: Sequence[int] | None = None,
-    prefix: str = "y",
+    df: DataFrame, authorities: Sequence[str], prefix: str = "y"
 ) -> DataFrame:
-    """One row per authority, one column per period (``y199596``) and their ``total``.
+    """One row per authority, one column per period of these rows (``y199596``) and the ``total``
+    over all of them.
 
-    Without ``periods`` Spark first runs a job to find them.
+    The sums per authority and period, few whatever the size of ``df``, are stored first, so that
+    finding the periods does not compute ``df`` a second time.
     """
     chosen = df.filter(F.col("la_name").isin(list(authorities)))
-    names = list(periods) if periods is not None else None
-    pivoted = chosen.groupBy("la_name").pivot("time_period", names).agg(F.sum("enrolments"))
+    sums = chosen.groupBy("la_name", "time_period").agg(F.sum("enrolments").alias("enrolments"))
+    sums = store(sums, "enrolment_sums")
+    pivoted = sums.groupBy("la_name").pivot("time_period").agg(F.sum("enrolments"))
     found = sorted(name for name in pivoted.columns if name != "la_name")
     counts = [or_zero(column(name)) for name in found]
     return pivoted.select(

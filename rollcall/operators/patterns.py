@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import absence_percent, column, or_zero
 from rollcall.operators.predicates import level_by_type
+from rollcall.sources import store
 
 SUMS = ("total_sessions", "total_possible_sessions")
 
@@ -108,18 +109,25 @@ def absence_conclusion(cells: DataFrame) -> DataFrame:
 
 
 def absence_heatmap(cells: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
-    """One row per school type, one column per region, 0 for a pair without sessions.
+    """One row per school type, one column per region of ``cells`` and per further one named in
+    ``regions``, in order of name; 0 for a pair without sessions.
 
-    Without ``regions`` Spark first runs a job to find them.
+    The cells, few whatever the size of the data, are stored first, so that finding the regions
+    does not compute them a second time.
     """
+    stored = store(cells, "heatmap_cells")
     pivoted = (
-        cells.groupBy("school_type")
-        .pivot("region_name", list(regions) if regions is not None else None)
+        stored.groupBy("school_type")
+        .pivot("region_name")
         .agg(absence_percent(*[F.sum(name) for name in SUMS]))
     )
-    found = [name for name in pivoted.columns if name != "school_type"]
+    found = {name for name in pivoted.columns if name != "school_type"}
+
+    def rate(name: str) -> Column:
+        return or_zero(column(name)) if name in found else F.lit(0.0)
+
     return pivoted.select(
-        "school_type", *[or_zero(column(name)).alias(name) for name in found]
+        "school_type", *[rate(name).alias(name) for name in sorted(found | set(regions or ()))]
     ).orderBy("school_type")
 
 

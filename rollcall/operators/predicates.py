@@ -8,26 +8,61 @@ scan as a pushed filter. A value that does not fit the column matches nothing; n
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_CEILING, ROUND_FLOOR, Context, Decimal, InvalidOperation
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql import types as T
 
 from rollcall.functions import column
+from rollcall.plans.mart import TOTAL_TYPE
 
-# The school type of rows over all types, and the text that stands for NULL.
-TOTAL_TYPE = "Total"
+# The text that stands for NULL, and the bits of each integral type.
 NULL_TEXT = "null"
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
 def _typed(df: DataFrame, name: str, value: object) -> Column:
     return F.lit(value).try_cast(df.schema[name].dataType)
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, NumericType):
-        return column(name)
-    return column(name).cast("string").try_cast("double")
+def _compared(df: DataFrame, name: str, value: float | str, above: bool) -> Column:
+    """``column > value`` or ``column < value`` with a literal of the column's own type.
+
+    A whole number is above a value if it is above the value rounded down, so nothing is lost to
+    doubles and the scan gets the condition; the same holds for the places of a decimal. A bound
+    outside the type decides for all rows that are not NULL.
+    """
+    kind, own = df.schema[name].dataType, column(name)
+    try:
+        number = Decimal(str(value).strip())
+    except InvalidOperation:
+        return F.lit(False)
+    if number.is_nan():
+        return F.lit(False)
+    if type(kind) in _BITS or isinstance(kind, T.DecimalType):
+        if isinstance(kind, T.DecimalType):
+            scale, largest = kind.scale, 10**kind.precision - 1
+            smallest = -largest
+        else:
+            scale, largest = 0, 2 ** (_BITS[type(kind)] - 1) - 1
+            smallest = -largest - 1
+        if number.is_infinite():
+            return own.isNotNull() if (number < 0) == above else F.lit(False)
+        exact = Context(prec=2000)
+        rounded = number.scaleb(scale, exact).to_integral_value(
+            ROUND_FLOOR if above else ROUND_CEILING
+        )
+        if rounded > largest if above else rounded < smallest:
+            return F.lit(False)
+        if rounded < smallest if above else rounded > largest:
+            return own.isNotNull()
+        bound = F.lit(str(rounded.scaleb(-scale, exact))).cast(kind)
+    else:
+        if not isinstance(kind, T.NumericType):
+            own = own.cast("string").try_cast("double")
+        bound = F.lit(float(number))
+    return own > bound if above else own < bound
 
 
 def equals(df: DataFrame, name: str, value: object) -> Column:
@@ -40,11 +75,11 @@ def differs(df: DataFrame, name: str, value: object) -> Column:
 
 
 def greater(df: DataFrame, name: str, value: float | str) -> Column:
-    return _number(df, name) > float(value)
+    return _compared(df, name, value, above=True)
 
 
 def less(df: DataFrame, name: str, value: float | str) -> Column:
-    return _number(df, name) < float(value)
+    return _compared(df, name, value, above=False)
 
 
 def contains(name: str, part: str) -> Column:

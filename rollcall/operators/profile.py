@@ -75,7 +75,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
-    """``(column_name, non_null_count, mean, minimum, maximum)`` per numeric column, as numbers."""
+    """``(column_name, non_null_count, mean, minimum, maximum, minimum_exact, maximum_exact)`` per
+    numeric column: numbers, and as text the extremes that a double cannot hold exactly.
+    """
     names = numeric_columns(df)
     statistics = {"non_null_count": F.count, "mean": F.avg, "minimum": F.min, "maximum": F.max}
     if not names:
@@ -88,6 +90,9 @@ def numeric_summary(df: DataFrame) -> DataFrame:
         ]
     )
 
+    def exact(statistic: str, i: int) -> Column:
+        return F.col(f"{statistic}_{i}").cast("string").alias(f"{statistic}_exact")
+
     def value(statistic: str, i: int) -> Column:
         kind = "bigint" if statistic == "non_null_count" else "double"
         return F.col(f"{statistic}_{i}").cast(kind).alias(statistic)
@@ -95,7 +100,12 @@ def numeric_summary(df: DataFrame) -> DataFrame:
     return to_rows(
         summary,
         [
-            F.struct(F.lit(name).alias("column_name"), *[value(s, i) for s in statistics])
+            F.struct(
+                F.lit(name).alias("column_name"),
+                *[value(s, i) for s in statistics],
+                exact("minimum", i),
+                exact("maximum", i),
+            )
             for i, name in enumerate(names)
         ],
     )

@@ -7,7 +7,7 @@ from rollcall.plans.mart import (
     load_attendance_mart,
 )
 from rollcall.plans.tables import read_table
-from rollcall.plans.unclean import build_unclean_extract
+from rollcall.plans.unclean import build_unclean_lines
 
 __all__ = [
     "LEVELS",
@@ -15,7 +15,7 @@ __all__ = [
     "MEASURES",
     "REASONS",
     "build_attendance_mart",
-    "build_unclean_extract",
+    "build_unclean_lines",
     "load_attendance_mart",
     "read_table",
 ]

@@ -1,40 +1,26 @@
-"""An extract of the mart with gaps and marker texts, as published statistics have them."""
+"""Order lines with gaps and marker texts, as published statistics have them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions import absence_percent
 
-
-def build_unclean_extract(mart: DataFrame) -> DataFrame:
-    """National and regional rows with NULLs, the text ``null`` and ``:`` at fixed places.
-
-    The numbering is global, over rows whose number is bounded by periods x regions x types.
+def build_unclean_lines(lineitem: DataFrame) -> DataFrame:
+    """One row per line, with NULLs, the text ``null`` and ``:`` where the order key says so: one
+    projection, so the rows grow with the table and stay where they are read.
     """
-    numbered = mart.filter(F.col("geographic_level").isin("National", "Regional")).withColumn(
-        "row_id",
-        F.row_number().over(
-            Window.orderBy(
-                "time_period",
-                "geographic_level",
-                F.coalesce("region_name", F.lit("")),
-                "school_type",
-            )
-        ),
-    )
-
-    def every(step: int):
-        return F.col("row_id") % step == 0
 
-    rate = F.round(absence_percent(F.col("sess_overall"), F.col("sess_possible")), 6)
-    study = F.when(every(6), ":").otherwise(F.col("sess_auth_study").cast("string"))
-    return numbered.select(
-        "row_id",
-        F.when(every(11), "null").otherwise(F.col("region_name")).alias("region_name"),
-        F.when(~every(7), F.col("enrolments").cast("int")).alias("enrolments_i"),
-        F.when(~every(5), F.col("sess_possible")).alias("sess_possible_l"),
-        F.when(~every(13), rate).alias("rate_d"),
-        F.when(~every(9), study).alias("study_s"),
+    def every(step: int) -> Column:
+        return F.col("l_orderkey") % step == 0
+
+    supplier = F.when(every(6), ":").otherwise(F.col("l_suppkey").cast("string"))
+    return lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(every(11), "null").when(every(17), F.lit(None)).otherwise(F.col("l_returnflag")).alias("flag_s"),
+        F.when(~every(7), F.col("l_quantity").cast("int")).alias("quantity_i"),
+        F.when(~every(5), F.col("l_partkey")).alias("part_l"),
+        F.when(~every(13), F.col("l_extendedprice")).alias("price_d"),
+        F.when(~every(9), supplier).alias("supplier_s"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -13,6 +14,16 @@ from pyspark.sql.types import StructType
 # Formats and modes a table can be saved with.
 FORMATS = ("csv", "parquet", "json")
 MODES = ("errorifexists", "overwrite", "append")
+# How saved CSV is written and read: quotes doubled, blanks kept, NULL as \\N, so
+# that an empty text (written as two quotes) is another value.
+_SAVED_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -28,14 +39,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
 def read_saved_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A directory of CSV part files written by ``save``: quotes are doubled and values may
     span lines. Such files do not split; the parallelism is the number of part files, which
-    ``save(..., rows_per_file=n)`` controls. An empty text comes back as NULL.
+    ``save(..., rows_per_file=n)`` controls. Every text comes back as it was, empty ones and
+    NULL included; only the text ``\\N`` itself reads as NULL.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", True)
-    )
+    reader = spark.read.options(**_SAVED_CSV).option("multiLine", True)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -58,7 +65,7 @@ def save(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     writer = df.write.format(file_format).mode(mode)
     if file_format == "csv":
-        writer = writer.option("header", True).option("quote", '"').option("escape", '"')
+        writer = writer.options(**_SAVED_CSV)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:
@@ -98,13 +105,15 @@ def list_directories(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
-    """Rows, size in KB and modification time of the files behind a file-based ``df``.
+    """Directory, name, rows, size in KB and modification time of the files behind a file-based
+    ``df``. Files of equal name in different directories are different files.
 
     Only counts leave the map tasks, and no data column is read.
     """
     metadata = F.col("_metadata")
     return (
         df.groupBy(
+            F.regexp_extract(metadata["file_path"], "^(.*)/[^/]+$", 1).alias("directory"),
             metadata["file_name"].alias("file_name"),
             (metadata["file_size"] / 1024).alias("size_kb"),
             metadata["file_modification_time"].alias("modified"),
@@ -115,14 +124,36 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names. Only a local
-    session without that setting may use a temporary folder of this machine.
+    session without that setting may use a temporary folder of this machine. What is there when
+    this Python process ends is removed.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rollcall-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    if not _SCRATCH:
+        jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
+
+        def remove() -> None:
+            try:
+                for made in _SCRATCH:
+                    place = jvm.org.apache.hadoop.fs.Path(made)
+                    place.getFileSystem(configuration).delete(place, True)
+            except Exception:  # noqa: BLE001  the JVM is gone, and nobody is left to be told
+                return
+
+        atexit.register(remove)
+    _SCRATCH.append(path)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

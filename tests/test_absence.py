@@ -20,7 +20,10 @@ def test_enrolment_pivot_fills_gaps_and_keeps_chosen_authorities(spark):
     ]
     found = enrolment.enrolment_by_authority_and_year
     assert dicts(found(df, ["A", "B", "X"])) == expected
-    assert dicts(found(df, ["A", "B", "X"], [201718, 201819])) == expected
+    more = df.unionByName(mart(spark, authority("A", 187071, enrolments=7)))
+    assert dicts(found(more, ["A"])) == [
+        {"la_name": "A", "y187071": 7, "y201718": 10, "y201819": 5, "total": 22}
+    ]
     assert dicts(found(df, ["X"])) == []
 
 

@@ -54,7 +54,7 @@ def test_clean_is_the_three_steps_together(dirty):
         (2, -1, None, None, "MISSING", "x"),
         (3, 6, 8, 1.5, "-1", "null"),
     ]
-    named = cleaning.clean_nulls(dirty, columns=["gaps", "big", "rate", "marked"])
+    named = cleaning.clean_nulls(dirty, suppressed=["gaps", "big", "rate", "marked"])
     assert _rows(named) == _rows(cleaned)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from rollcall.catalog import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
 DATA = "/root/testdata/sf0.01"
@@ -15,15 +16,14 @@ def duck():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("key", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, key):
-    df = driver.queries()[key](spark, DATA)
-    assert differences(duck, driver.oracle_sql()[key], df) == []
+    df = QUERIES[key](spark, DATA)
+    assert differences(duck, ORACLES[key], df) == []
 
 
-def test_only_the_file_listing_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"source_file_inventory"}
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_returns_rows_per_region_and_year(spark):

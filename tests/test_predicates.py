@@ -48,8 +48,24 @@ def test_greater_and_less_on_numbers_and_texts(df):
     assert _ids(df, p.less(df, "rate", "2.5")) == [1]
     assert _ids(df, p.greater(df, "mixed", "6")) == [1]
     assert _ids(df, p.less(df, "mixed", "100")) == [1]
-    with pytest.raises(ValueError):
-        p.greater(df, "n", "many")
+    for value in ("many", "", "nan"):
+        assert _ids(df, p.greater(df, "n", value)) == _ids(df, p.less(df, "n", value)) == []
+
+
+def test_greater_and_less_are_exact_beyond_doubles(spark):
+    big = 2**53
+    df = spark.createDataFrame(
+        [(1, big), (2, big + 1), (3, -5), (4, None)], "id int, n bigint"
+    ).selectExpr("id", "n", "CAST(n AS DECIMAL(20, 1)) + 0.5BD AS d")
+    assert _ids(df, p.greater(df, "n", str(big))) == [2]
+    assert _ids(df, p.less(df, "n", big + 1)) == [1, 3]
+    assert _ids(df, p.greater(df, "n", "-5.5")) == [1, 2, 3]
+    assert _ids(df, p.less(df, "n", "-4.5")) == [3]
+    assert _ids(df, p.greater(df, "n", "1e30")) == _ids(df, p.less(df, "n", "-1e30")) == []
+    assert _ids(df, p.less(df, "n", "1e30")) == _ids(df, p.greater(df, "n", "-inf")) == [1, 2, 3]
+    assert _ids(df, p.greater(df, "d", f"{big}.5")) == [2]
+    assert _ids(df, p.less(df, "d", f"{big}.55")) == [1, 3]
+    assert _ids(df, p.less(df, "d", "1e40")) == [1, 2, 3]
 
 
 def test_text_tests_also_on_numbers(df):

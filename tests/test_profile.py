@@ -61,12 +61,30 @@ def test_numeric_columns_include_every_numeric_type(spark):
 
 def test_numeric_summary(gaps):
     rows = {r.pop("column_name"): r for r in dicts(profile.numeric_summary(gaps))}
-    assert rows["id"] == {"non_null_count": 4, "mean": 2.5, "minimum": 1.0, "maximum": 4.0}
-    assert rows["rate"] == {"non_null_count": 2, "mean": 2.0, "minimum": 1.5, "maximum": 2.5}
-    assert rows["big"] == {"non_null_count": 2, "mean": 15.0, "minimum": 10.0, "maximum": 20.0}
+    def row(count, mean, least, most):
+        return {
+            "non_null_count": count, "mean": mean, "minimum": float(least),
+            "maximum": float(most), "minimum_exact": str(least), "maximum_exact": str(most),
+        }
+
+    assert rows["id"] == row(4, 2.5, 1, 4)
+    assert rows["rate"] == row(2, 2.0, 1.5, 2.5)
+    assert rows["big"] == row(2, 15.0, 10, 20)
     assert list(rows) == ["id", "rate", "big"]
 
 
+def test_extremes_beyond_doubles_are_exact(spark):
+    found = profile.numeric_summary(spark.sql("SELECT 9007199254740993L AS n")).first()
+    assert found["minimum_exact"] == found["maximum_exact"] == "9007199254740993"
+
+
+def test_status_counts_the_columns_of_the_files(spark, tmp_path):
+    wide = spark.range(3).selectExpr("id", *[f"id AS c{k}" for k in range(11)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    found = profile.table_status(spark.read.parquet(str(tmp_path / "wide")))
+    assert tuple(found.first()) == (3, 12)
+
+
 def test_numeric_summary_without_numbers(gaps):
     with pytest.raises(ValueError):
         profile.numeric_summary(gaps.select("`la.name`"))

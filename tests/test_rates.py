@@ -163,6 +163,8 @@ def test_heatmap_fills_gaps_with_zero(cells):
     ]
     assert dicts(patterns.absence_heatmap(cells)) == expected
     assert dicts(patterns.absence_heatmap(cells, ["East", "North", "South"])) == expected
+    named = patterns.absence_heatmap(cells, ["West", "North"])
+    assert dicts(named) == [{**row, "West": 0.0} for row in expected]
 
 
 def test_trend_has_no_row_for_a_missing_year(cells):
