@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from rollcall.llm import exact_dedup, line_dedup, near_dedup
+from rollcall.llm.components import components
+from tests.llm import brute
+from tests.llm.conftest import HARD
+
+
+def _key(value):
+    return (value is not None, value or 0)
+
+
+def test_exact_marks_equal_brute_force(docs_of):
+    rng = random.Random(1)
+    rows = HARD + [(100 + i, rng.choice("aAbBcÀà") * rng.randint(0, 3)) for i in range(300)]
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[brute.lower_ascii(text or "")].append(doc_id)
+    expected = Counter()
+    for text, ids in groups.items():
+        keep = max(ids, key=_key)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        for doc_id in ids:
+            expected[(doc_id, keep, len(ids), doc_id == keep, digest)] += 1
+    docs = docs_of(rows)
+    for bound in (exact_dedup.MAX_FILTER_BITS, 1 << 10):  # a filter of any size gives the same
+        got = exact_dedup.mark_duplicates(docs, bound)
+        assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+        assert Counter(map(tuple, got.collect())) == expected
+
+
+def test_exact_drop_keeps_one_whole_row_of_each_text(docs_of):
+    docs = docs_of(HARD)
+    got = exact_dedup.drop_duplicates(docs)
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], brute.lower_ascii(r["text"] or "")) for r in got.collect()]
+    best = {}
+    for doc_id, text in HARD:
+        text = brute.lower_ascii(text or "")
+        best[text] = max(best.get(text), doc_id, key=_key)
+    assert sorted(kept, key=str) == sorted(((i, t) for t, i in best.items()), key=str)
+    assert exact_dedup.drop_duplicates(docs.limit(0)).collect() == []
+    assert exact_dedup.mark_duplicates(docs.limit(0)).collect() == []
+
+
+def _edited(rng, words, share):
+    return [rng.choice("abcdefgh") * 3 if rng.random() < share else w for w in words]
+
+
+def test_near_duplicates_equal_brute_force(docs_of):
+    rng = random.Random(2)
+    rows = []
+    for group in range(12):
+        base = [f"{rng.choice('abcdefg')}{rng.randint(0, 60)}" for _ in range(rng.randint(3, 120))]
+        for copy in range(rng.choice((1, 3, 30))):
+            text = " ".join(_edited(rng, base, rng.choice((0, 0.01, 0.03, 0.06))))
+            rows.append((1000 * (group + 1) + copy, text if copy % 2 else text.upper()))
+    rows += [row for row in HARD if row[0] is not None]
+    got = near_dedup.near_duplicates(docs_of(rows))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert {tuple(r) for r in got.collect()} == brute.near_duplicates(rows)
+    assert got.count() == len(rows)
+
+
+def test_near_duplicates_without_ids_take_no_part(docs_of):
+    docs = docs_of(HARD)
+    got = near_dedup.near_duplicates(docs).filter("doc_id IS NULL").collect()
+    assert [(r["component_id"], r["kept"]) for r in got] == [(None, True)] * 2
+    kept = near_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert 5 not in {r["doc_id"] for r in kept.collect()}
+    assert near_dedup.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_a_large_group_of_loose_copies_is_whole(docs_of, monkeypatch):
+    """Copies so far from each other that many are linked through third ones only; with small
+    blocks and stretches, a group is dealt over many tasks.
+    """
+    monkeypatch.setattr(near_dedup, "QUERY_ROWS", 16)
+    monkeypatch.setattr(near_dedup, "STRETCH_ROWS", 32)
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 10_000)}" for _ in range(150)]
+    rows = [(i, " ".join(_edited(rng, base, 0.025))) for i in range(300)]
+    got = {tuple(r) for r in near_dedup.near_duplicates(docs_of(rows)).collect()}
+    assert got == brute.near_duplicates(rows)
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, k) for k in range(200, 260)]
+    edges += [(300, 301), (301, 302), (302, 300), (5, 5), (260, 7)]
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {i: 100 for i in range(100, 161)} | {k: 7 for k in range(200, 261)} | {7: 7}
+    assert dict(map(tuple, got)) == expected | {300: 300, 301: 300, 302: 300}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def _lines(rows):
+    """The text of each document without later occurrences of three-line passages."""
+    seen, found = set(), {}
+    for doc_id, text in sorted(set(rows), key=lambda r: _key(r[0])):
+        lines = (text or "").split("\n")
+        covered = set()
+        for i in range(len(lines) - 2):
+            passage = tuple(lines[i : i + 3])
+            if not any(line.strip(" ") for line in passage):
+                continue
+            if passage in seen:
+                covered |= {i, i + 1, i + 2}
+            seen.add(passage)
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in covered)
+        n_lines = 0 if text is None else len(lines)
+        found[doc_id, text] = (doc_id, n_lines, len(covered), text if not covered else kept)
+    return Counter(found[row] for row in rows)
+
+
+def test_line_windows_equal_brute_force(docs_of):
+    rng = random.Random(4)
+    rows = [row for row in HARD if row[0] is not None] + [(None, "a\nb\nc")]
+    rows += [
+        (100 + i, "\n".join(rng.choice(["", " ", "p", "q", "r", "s"]) for _ in range(rng.randint(0, 14))))
+        for i in range(200)
+    ]
+    got = line_dedup.remove_repeated_lines(docs_of(rows))
+    assert got.columns == ["doc_id", "n_lines", "removed_lines", "text"]
+    assert Counter(map(tuple, got.collect())) == _lines(rows)
+    assert line_dedup.remove_repeated_lines(docs_of(rows).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"])
+def test_line_dedup_is_native(docs_of, name):
+    plan = line_dedup.remove_repeated_lines(docs_of(HARD))._jdf.queryExecution().executedPlan()
+    assert name not in plan.toString()
