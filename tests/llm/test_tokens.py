@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from rollcall.llm import bpe, language, packing, quality
+from rollcall.llm.catalog import sites, tokenizer_path
+from rollcall.llm.common import read
+from rollcall.llm.packing_plan import locate, plan
+from rollcall.llm.tokens import WordEncoder
+from tests.llm import brute
+from tests.llm.conftest import HARD
+
+DATA = "/root/testdata/sf0.001"
+BYTES, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
+# Texts on which encoders differ if they differ anywhere.
+ODD = [
+    "<|endoftext|> a<|endoftext|><|endoftext|>b ", "<|startoftext|>x", "a" * 108,
+    "     x  y \n\n z\t \t", "it's we'll 'sfoo don't 'S", "a\x1cb\x85c\x0bd\x0ce \x1c \x1f",
+    "", "  \n\n\t ", "foo ", " foo", "a\n b\n\nc \n d", "=-=-=-" * 20, "0000000000 11111",
+    "🙂🙂 é ́x \xa0 y　z  w", "ÉA ΣΑΣ ὈΔΥΣΣΕΎΣ", "ﬁ Å ½ İstanbul ß µm ÀÉ,!! 12,34.5", "日本語 text。ok",
+    "a- b-- --c 'll, \"q\" ª º ²³ ªb", "㎏ ǅ ﷺ", "a.b,c d.'s e'",
+]
+
+
+def _odd_texts():
+    rng, texts = random.Random(9), list(ODD)
+    for letters in ("abzÀéß .,'!\n\t-0¼ªµ́Σσ<|> \xa0\x85日🙂\x1d", "the inga ndtion", "aab b"):
+        texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(700)]
+    return texts
+
+
+def test_backtracking_gives_the_merges_of_the_library():
+    library, own = Tokenizer.from_file(BYTES), bpe.ByteBpe(BYTES)
+    for text in _odd_texts():
+        ids = np.frombuffer(own.encode(text), "<i4")
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == expected, text
+        decoded = own.decode(ids, np.array([0, len(ids)]))
+        assert decoded == [library.decode(expected, skip_special_tokens=False)] == [text]
+
+
+def test_encoded_and_decoded_documents(docs_of):
+    library = Tokenizer.from_file(BYTES)
+    got = bpe.digest(bpe.decode(bpe.encode(docs_of(HARD), BYTES), BYTES)).collect()
+    expected = []
+    for doc_id, text in HARD:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        joined = ",".join(map(str, ids))
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (joined, back)]
+        expected.append((doc_id, len(ids), *digests))
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    assert bpe.encode(docs_of(HARD).limit(0), BYTES).collect() == []
+
+
+def test_remembered_words_have_the_ids_of_the_library():
+    library, own = Tokenizer.from_file(WORDS), WordEncoder(WORDS)
+    for text in _odd_texts() * 2:  # the second time from memory
+        ids = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
+def _check_places(pieces, capacity):
+    """Gapless sequences within the capacity; how many there are."""
+    placed = defaultdict(list)
+    for sequence, offset, length in pieces:
+        placed[sequence].append((offset, length))
+    for parts in placed.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(placed)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_place_every_piece_close_to_the_bound(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, [64, 65, 30, 64, 20, 64][seed], [500, 3, 2000, 20_000, 1, 64][seed])
+    if seed == 3:
+        lengths[:7000] = 64
+    histogram = {int(k): int(n) for k, n in zip(*np.unique(lengths, return_counts=True), strict=True)}
+    rows = plan(histogram, 64)
+    of = np.repeat(list(histogram), list(histogram.values()))
+    ranks = np.concatenate([np.arange(n) for n in histogram.values()])
+    sequence, offset = locate(rows, of, ranks)
+    used = _check_places(zip(sequence.tolist(), offset.tolist(), of.tolist(), strict=True), 64)
+    # First fit decreasing, one piece at a time, is the measure; it is near the optimum here.
+    room = []
+    for length in sorted(of.tolist(), reverse=True):
+        k = next((k for k, r in enumerate(room) if r >= length), None)
+        if k is None:
+            room.append(64 - length)
+        else:
+            room[k] -= length
+    assert used <= len(room) + 1
+    assert plan({}, 64).shape == (0, 5)
+
+
+def _pieces(rows, capacity):
+    library, found = Tokenizer.from_file(WORDS), []
+    for doc_id, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        for number, start in enumerate(range(0, len(ids), capacity)):
+            part = np.array(ids[start : start + capacity], "<u4")
+            found.append((doc_id, number, start, len(part), zlib.crc32(part.tobytes())))
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("bucket_rows", [20_000, 3])
+def test_packed_documents(docs_of, monkeypatch, bucket_rows):
+    monkeypatch.setattr(packing, "BUCKET_ROWS", bucket_rows)
+    rows = HARD + [(1000 + i, "word " * (i % 40)) for i in range(200)]
+    got = packing.pack_documents(docs_of(rows), WORDS, 128).collect()
+    assert got[0].asDict().keys() == {
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
+    }
+    assert sorted((tuple(r)[:5] for r in got), key=str) == _pieces(rows, 128)
+    used = _check_places([(r["sequence_id"], r["offset"], r["length"]) for r in got], 128)
+    assert used <= -(-sum(r["length"] for r in got) // 128) + 2
+    assert packing.pack_documents(docs_of(rows).limit(0), WORDS).collect() == []
+    ids = packing.cut(docs_of(HARD), WORDS, 128, ids=True).collect()
+    assert all(len(r["ids"]) == r["length"] for r in ids)
+
+
+# --- the pipeline --------------------------------------------------------------------------
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark):
+    docs, labels = read(spark, DATA, "documents"), read(spark, DATA, "labels")
+    judged = quality.classify(docs, labels, **sites())
+    good = {r["doc_id"] for r in judged.filter("kept").collect()}
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    kept = docs.filter(docs["doc_id"].isin(list(good)))
+    found = kept.select("doc_id", language.predict(kept["text"], *language.train(kept)).alias("x"))
+    known = {
+        r["doc_id"]
+        for r in found.collect()
+        if r["x"]["lang_pred"] != "und" and r["x"]["score"] >= corpus_pipeline.LEAST_LANGUAGE_SCORE
+    }
+    last = {}
+    for doc_id in sorted(known):
+        last[brute.lower_ascii(rows[doc_id]["text"] or "")] = doc_id
+    near = brute.near_duplicates([(i, rows[i]["text"]) for i in last.values()])
+    final = [(i, rows[i]["text"]) for i, _, _, stays in near if stays]
+    got = corpus_pipeline.run(spark, DATA).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == _pieces(final, 2048)
+    _check_places([(r["sequence_id"], r["offset"], r["length"]) for r in got], 2048)
+    assert len(final) > 100
+
+
+def test_stages_keep_the_columns_of_documents(spark, tmp_path, docs_of):
+    read(spark, DATA, "labels").write.parquet(str(tmp_path / "labels.parquet"))
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_classifier", "language_id", "exact_dedup", "near_dedup", "packing"]
+    for docs in (docs_of(HARD), docs_of(HARD).limit(0)):
+        at = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            at = stage(spark, at, str(tmp_path))
+            assert at.columns == docs.columns
+        assert corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).count() >= 0
