@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.sources import store
+
 WINDOW = 3
 
 
@@ -78,11 +80,13 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
         .select("doc_id", "version", "pos", "w.h1", "w.h2")
         .filter("h1 IS NOT NULL")
     )
-    repeated = (
+    # Stored, so that the join has an exchange of its own, which Spark can split at a hot window.
+    repeated = store(
         windows.groupBy("h1", "h2")
         .agg(F.count("*").alias("times"), F.min(at).alias("first"))
         .filter("times > 1")
-        .drop("times")
+        .drop("times"),
+        "repeated_windows",
     )
     later = (
         windows.join(repeated, ["h1", "h2"])
@@ -91,11 +95,9 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_set("pos")).alias("starts"))
     )
     lines = F.split("text", "\n", -1)
-    joined = rows.join(
-        later,
-        F.col("doc_id").eqNullSafe(F.col("later_id")) & (F.col("version") == F.col("later_version")),
-        "left",
-    ).select("doc_id", "text", "starts", F.when(F.col("text").isNotNull(), lines).alias("lines"))
+    same = F.col("doc_id").eqNullSafe(F.col("later_id"))
+    same = same & (F.col("version") == F.col("later_version"))
+    joined = rows.join(later, same, "left").select("doc_id", "text", "starts", F.when(F.col("text").isNotNull(), lines).alias("lines"))
     kept = joined.withColumn(
         "kept", F.when(F.col("starts").isNotNull(), _without(F.col("lines"), F.col("starts")))
     )
