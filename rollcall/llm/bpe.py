@@ -191,9 +191,8 @@ class ByteBpe:
         at = np.arange(total) + np.repeat(self.starts[ids] - ends + lengths, lengths)
         data = self.blob[at].tobytes()
         places = np.concatenate([[0], ends])[starts]
-        return [
-            data[a:b].decode("utf-8", "replace") for a, b in zip(places[:-1], places[1:], strict=True)
-        ]
+        spans = zip(places[:-1], places[1:], strict=True)
+        return [data[a:b].decode("utf-8", "replace") for a, b in spans]
 
 
 @lru_cache(maxsize=2)

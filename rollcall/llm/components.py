@@ -14,6 +14,13 @@ def _descending(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node; stored, so that joins with it have exchanges of their
+    own, which Spark can split at a node with very many links.
+    """
+    return store(edges.groupBy("a").agg(F.min("b").alias("least")), "components")
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -32,14 +39,14 @@ def components(edges: DataFrame) -> DataFrame:
     state = _fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least"))
+        least = _least(both)
         large = (
             both.join(least, "a")
             .filter("b > a")
             .select(F.col("b").alias("a"), F.least("least", "a").alias("b"))
         )
         large = store(_descending(large), "components")
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
+        least = _least(large)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         tops = least.select("a", F.col("least").alias("b"))
         edges = store(_descending(small.unionByName(tops)), "components")

@@ -220,11 +220,12 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     first = spark.createDataFrame(before, "bucket int, head long, before int")
     own = F.struct(F.col("bucket"), F.lit(False).alias("halo"))
     also = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("halo"))
+    at_head = F.col("key") == F.col("head")
     dealt = (
         placed.join(F.broadcast(first), "bucket")
         .select(
             "doc_id", "text", "key",
-            F.explode(F.when(F.col("key") == F.col("head"), F.array(own, also)).otherwise(F.array(own))).alias("at"),
+            F.explode(F.when(at_head, F.array(own, also)).otherwise(F.array(own))).alias("at"),
         )
         .select("at.bucket", "at.halo", "doc_id", "text", "key")
         .repartition(tasks, "bucket")

@@ -45,7 +45,8 @@ def _random_vectors(codes: np.ndarray) -> np.ndarray:
 def text_vectors(texts: list[str]) -> np.ndarray:
     """The bundled vector of each text; zeros for a text without letters."""
     lowered = [text.lower() for text in texts]
-    codes = np.frombuffer((" ".join([*lowered, ""])).encode("utf-32-le", "surrogatepass"), np.uint32)
+    joined = " ".join([*lowered, ""])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     row = np.repeat(np.arange(len(texts)), [len(text) + 1 for text in lowered])
     codes = np.where(_letters()[codes], codes, 0).astype(np.int64)
     at = np.flatnonzero(codes)
@@ -55,10 +56,8 @@ def text_vectors(texts: list[str]) -> np.ndarray:
     before = np.where(at > 0, codes[at - 1], 0)
     grams = before << 2 * _CODE_BITS | codes[at] << _CODE_BITS | codes[at + 1]
     distinct, inverse = np.unique(grams, return_inverse=True)
-    alphabet, places = np.unique(
-        np.stack([distinct >> shift & (1 << _CODE_BITS) - 1 for shift in (2 * _CODE_BITS, _CODE_BITS, 0)]),
-        return_inverse=True,
-    )
+    shifts = np.array([[2 * _CODE_BITS], [_CODE_BITS], [0]])
+    alphabet, places = np.unique(distinct >> shifts & (1 << _CODE_BITS) - 1, return_inverse=True)
     places = places.reshape(3, -1)
     last = _random_vectors(alphabet)
     first, second = np.roll(last, 2, axis=1), np.roll(last, 1, axis=1)

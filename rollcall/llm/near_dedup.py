@@ -137,7 +137,8 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, ids, groups, sets, parents = None, [], [], [], {}
     lows = None
     for batch in batches:
-        bucket, block, stretch, stream, id_, group = (batch.column(k).to_numpy(False) for k in range(6))
+        columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+        bucket, block, stretch, stream, id_, group = columns
         low = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, SLOTS)
         data, starts = text_buffers(batch.column(7))
         found = []

@@ -1,9 +1,9 @@
 """Document quality: evidence of the text combined with what its site is like.
 
-Evidence. Six figures of a text (shares of capitals, signs, bars, exclamation marks, digits, and of words
-said twice in a row) fall into bins. For each bin, the log of how much likelier it is in good labelled documents than in bad ones,
-shrunk toward none where few labelled documents have it, is added up, tempered because the figures
-are not independent.
+Evidence. Six figures of a text (shares of capitals, signs, bars, exclamation marks, digits, and
+of words said twice in a row) fall into bins. For each bin, the log of how much likelier it is in
+good labelled documents than in bad ones, shrunk toward none where few labelled documents have it,
+is added up.
 
 Sites. A host's share of good documents counts labels, and for documents without a label the
 probability from the text alone, over all documents. It is shrunk toward the global share, and a
@@ -30,7 +30,6 @@ from rollcall.llm.shingles import word_hashes
 from rollcall.sources import store
 
 FIGURES, BINS = 6, 32
-TEMPER = 1.0
 #: Labelled documents that a bin needs for its own shares to weigh as much as the global one.
 SPARSE = 2
 _BLOCK = 1 << 20
@@ -167,7 +166,7 @@ def fit(figures: DataFrame, labels: DataFrame) -> Model:
     prior = math.log(share / (1 - share))
     ratios = np.log((good + SPARSE * share) / (bad + SPARSE * (1 - share))) - prior
     ratios *= bool(n_good and n_bad)
-    model = Model((ratios * TEMPER).reshape(-1).tolist(), prior, figures)
+    model = Model(ratios.reshape(-1).tolist(), prior, figures)
     alone = 1 / (1 + F.exp(-(model.evidence(F.col("bins")) + prior)))
     paths = store(
         marked.groupBy("host", "path").agg(
@@ -188,7 +187,8 @@ def fit(figures: DataFrame, labels: DataFrame) -> Model:
     of_paths = _strength(nested, F.col("host_share"))
     shrunk = (F.col("good") + of_paths * F.col("host_share")) / (F.col("rows") + of_paths)
     bounded = F.least(F.greatest(shrunk, F.lit(1e-6)), F.lit(1 - 1e-6))
-    model.paths = store(nested.select("host", "path", _logit(bounded).alias("site")), "quality_sites")
+    site = _logit(bounded).alias("site")
+    model.paths = store(nested.select("host", "path", site), "quality_sites")
     return model
 
 
