@@ -44,7 +44,9 @@ def sites() -> dict[str, Column]:
 @_query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
-    return quality.classify(read(spark, sf_dir, "documents"), labels, **sites())
+    judged = quality.classify(read(spark, sf_dir, "documents"), labels, **sites())
+    # Rounded here, and only here, so that they compare equal with the SQL.
+    return judged.withColumns({n: F.round(n, 6) for n in ("evidence", "site", "score")})
 
 
 def tokenizer_path(name: str) -> str:
@@ -187,3 +189,105 @@ SELECT conv_id, count(*) AS n_turns,
        sum(upto) FILTER (role = 'assistant' OR place = turns)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+ORACLES["op7_near_dedup"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(
+           CASE WHEN len(words) >= 5
+                THEN list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4])
+                WHEN len(words) > 0 THEN [words] ELSE [] END) AS shingle
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT one, two FROM p JOIN n x ON x.doc_id = one JOIN n y ON y.doc_id = two
+  WHERE 100 * shared >= 75 * (x.size + y.size - shared)
+), e AS (
+  SELECT one, two FROM l UNION ALL SELECT two, one FROM l
+), r AS (
+  SELECT doc_id, doc_id AS reached FROM documents
+  UNION
+  SELECT r.doc_id, e.two FROM r JOIN e ON e.one = r.reached
+)
+SELECT doc_id, coalesce(any_value(size), 0) AS n_shingles, min(reached) AS component_id,
+       doc_id = min(reached) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+_SITE_STRENGTH = """
+  CASE WHEN sum(rows * (good / rows - mean) ** 2) > sum(mean * (1 - mean))
+       THEN least(greatest(sum(rows * mean * (1 - mean))
+              / (sum(rows * (good / rows - mean) ** 2) - sum(mean * (1 - mean))) - 1, 1.0), 1e6)
+       ELSE 1e6 END"""
+
+
+def _counted(signs: str) -> str:
+    return f"length(text) - length(regexp_replace(text, '[{signs}]', '', 'g'))"
+
+
+_FIGURES = [
+    (_counted("A-Z"), "strlen(text)"),
+    (_counted(r"#$%&*+/<=>@\[\\\]^_`{}~"), "strlen(text)"),
+    (_counted("|"), "strlen(text)"),
+    (_counted("!?"), "strlen(text)"),
+    (_counted("0-9"), "strlen(text)"),
+    ("len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1]))", "len(words) - 1"),
+]
+_BINNED = " UNION ALL ".join(
+    f"""SELECT doc_id, source, lang, {k} AS figure, CASE WHEN {part} <= 0 THEN 0 ELSE
+      least(greatest(ceil(2 * log2(({part})::DOUBLE / greatest({whole}, 1))) + 31, 1), 31) END AS bin
+  FROM w"""
+    for k, (part, whole) in enumerate(_FIGURES)
+)
+ORACLES["op1_quality"] = rf"""
+WITH w AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), b AS ({_BINNED}
+), y AS (
+  SELECT doc_id, avg(quality) AS good, count(*) AS times, sum(quality) AS total
+  FROM labels WHERE quality IN (0, 1) GROUP BY doc_id
+), k AS (
+  SELECT figure, bin, sum(total) AS good, sum(times - total) AS bad
+  FROM b JOIN y USING (doc_id) GROUP BY ALL
+), g AS (
+  SELECT sum(good) / sum(good + bad) AS share, ln(sum(good) / sum(bad)) AS prior
+  FROM k WHERE figure = 0
+), t AS (
+  SELECT figure, bin, ln((good + 2 * share) / (bad + 2 * (1 - share))) - prior AS ratio FROM k, g
+), e AS (
+  SELECT b.doc_id, any_value(source) AS source, any_value(lang) AS lang,
+         sum(coalesce(ratio, 0)) AS evidence
+  FROM b LEFT JOIN t USING (figure, bin) GROUP BY b.doc_id
+), p AS (
+  SELECT source, concat_ws('/', source, lang) AS path, count(*) AS rows,
+         sum(coalesce(good, 1 / (1 + exp(-(evidence + prior))))) AS good
+  FROM e LEFT JOIN y USING (doc_id), g GROUP BY ALL
+), h AS (
+  SELECT source, sum(good) AS good, sum(rows) AS rows, any_value(share) AS mean
+  FROM p, g GROUP BY source
+), hs AS (SELECT {_SITE_STRENGTH} AS strength FROM h
+), m AS (
+  SELECT source, (good + strength * mean) / (rows + strength) AS mean FROM h, hs
+), n AS (SELECT p.*, mean FROM p JOIN m USING (source)
+), ps AS (SELECT {_SITE_STRENGTH} AS strength FROM n
+), o AS (
+  SELECT source, path,
+         least(greatest((good + strength * mean) / (rows + strength), 1e-6), 1 - 1e-6) AS share
+  FROM n, ps
+), f AS (
+  SELECT e.doc_id, evidence, ln(o.share / (1 - o.share)) AS site
+  FROM e JOIN o ON o.path = concat_ws('/', e.source, e.lang)
+)
+SELECT doc_id, round(evidence, 6) AS evidence, round(site, 6) AS site,
+       round(1 / (1 + exp(-(evidence + site))), 6) AS score,
+       1 / (1 + exp(-(evidence + site))) >= 0.5 AS kept
+FROM f
+"""
