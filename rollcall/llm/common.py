@@ -19,8 +19,14 @@ _MIX_2 = np.uint64(0x94D049BB133111EB)
 def session_of(df: DataFrame) -> SparkSession:
     """The session of ``df``, whose Python workers can import this package from where the driver
     has it (on a cluster the package is installed at the same path, or shipped with ``addPyFile``).
+
+    Arrow batches of the session are held to ``BATCH_ROWS`` rows, unless it asks for fewer: rows
+    are whole texts, and a batch is held by the executor and by the worker at the same time.
     """
     spark = df.sparkSession
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(":")
@@ -34,6 +40,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most rows of an Arrow batch.
+BATCH_ROWS = 1000
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is; NULL counts as empty.
 

@@ -34,7 +34,7 @@ PERCENT = 75
 LEAST_EQUAL = 0.55
 #: Rows of a bucket that one task compares with each other at most: a block and a stretch.
 QUERY_ROWS, STRETCH_ROWS = 256, 1024
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 @contextmanager

@@ -32,7 +32,7 @@ from rollcall.sources import store
 FIGURES, BINS = 6, 32
 #: Labelled documents that a bin needs for its own shares to weigh as much as the global one.
 SPARSE = 2
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def _class(signs: bytes) -> np.ndarray:
