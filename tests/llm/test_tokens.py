@@ -106,6 +106,26 @@ def test_plans_place_every_piece_close_to_the_bound(seed):
     assert plan({}, 64).shape == (0, 5)
 
 
+def _sequences(histogram, capacity):
+    rows = plan(histogram, capacity)
+    of = np.repeat(list(histogram), list(histogram.values()))
+    ranks = np.concatenate([np.arange(n) for n in histogram.values()])
+    sequence, offset = locate(rows, of, ranks)
+    return _check_places(zip(sequence.tolist(), offset.tolist(), of.tolist(), strict=True), capacity)
+
+
+@pytest.mark.parametrize("n", [1, 10, 1000])
+def test_plans_of_known_optimum(n):
+    # Full sequences of 1034 + 522 + 492 and of twice 532 + 492; best fit needs more.
+    assert _sequences({1034: 6 * n, 532: 6 * n, 522: 6 * n, 492: 12 * n}, 2048) <= 9 * n + (n == 1)
+    # Three lengths over a third and one filling each up, so that nothing is left over.
+    parts = [(1000, 800, 248), (900, 700, 448), (750, 650, 648), (1000, 1048)]
+    cut = {}
+    for length in [length for part in parts for length in part]:
+        cut[length] = cut.get(length, 0) + 7 * n
+    assert 28 * n <= _sequences(cut, 2048) <= 28 * n + len(cut)
+
+
 def _pieces(rows, capacity):
     library, found = Tokenizer.from_file(WORDS), []
     for doc_id, text in rows:
