@@ -24,6 +24,9 @@ from rollcall.llm.common import blocks, mix, session_of, text_buffers
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+#: Texts of fewer letters (a trigram each) are too short to be judged: the cosine falls with the
+#: number of trigrams, while its noise stays at 1 / sqrt(DIMENSIONS).
+SHORT = 32
 _BLOCK = 1 << 18
 _SCALE = 1 << 20
 _CODE_BITS = 21
@@ -173,10 +176,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame, least_score: float) -> DataFrame:
     """The rows of ``docs``, all columns, whose text resembles a language of ``docs`` with a
-    cosine of at least ``least_score``; texts that are ``und`` go. Prototypes come from all rows
-    with a ``lang``.
+    cosine of at least ``least_score``, or has fewer than ``SHORT`` letters, too few to tell;
+    texts that are ``und`` go. Prototypes come from all rows with a ``lang``.
     """
     found = predict(docs["text"], *train(docs))
     packed = docs.select(F.struct("*").alias("row"), found.alias("found"))
-    known = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_score)
-    return packed.filter(known).select("row.*")
+    letters = F.char_length(F.regexp_replace("row.text", r"\P{L}+", ""))
+    known = (F.col("found.score") >= least_score) | (letters < SHORT)
+    return packed.filter((F.col("found.lang_pred") != UNKNOWN) & known).select("row.*")

@@ -65,6 +65,15 @@ def test_hard_texts_have_a_language_or_none(docs_of):
     assert not {1, 2, 3} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_short_texts_are_not_rejected_by_their_cosine(spark):
+    docs = read(spark, DATA, "documents").select("doc_id", "text", "lang")
+    short = [(-1, "A."), (-2, "Lllldoado."), (-3, "Onhaha sh.")]
+    noise = [(-4, "".join(chr(0x4E00 + 7 * k) for k in range(200)))]
+    more = spark.createDataFrame([(*r, None) for r in short + noise], docs.schema)
+    kept = language.keep_known(docs.unionByName(more), 0.1).filter("doc_id < 0").collect()
+    assert {r["doc_id"] for r in kept} == {-1, -2, -3}
+
+
 # --- fingerprints --------------------------------------------------------------------------
 
 
