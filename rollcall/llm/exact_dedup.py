@@ -74,14 +74,15 @@ def with_repeat_flag(
     rows: DataFrame, flag: str, hashed: Column, max_filter_bits: int = MAX_FILTER_BITS
 ) -> DataFrame:
     """``rows`` with a boolean column ``flag``: false where the 64-bit ``hashed`` is unique in
-    ``rows`` for certain. No row moves. Reads ``rows`` three times (count, fill, test).
+    ``rows`` for certain. No row moves. Reads ``rows`` twice: to store the hashes, from which the
+    filter is counted and filled by few tasks, and to test.
     """
     spark = session_of(rows)
-    wanted = 8 * max(rows.count(), 1 << 12)
+    hashes = store(rows.select(hashed.alias("hash")), "exact_hashes")
+    wanted = 8 * max(hashes.count(), 1 << 12)
     n_bits = min(1 << (wanted - 1).bit_length(), max_filter_bits)
     filled = (
-        rows.select(hashed.alias("hash"))
-        .coalesce(BUILDERS)
+        hashes.coalesce(BUILDERS)
         .mapInPandas(_fill(n_bits), "segment int, once binary, twice binary")
         .groupBy("segment")
         .applyInPandas(_merge, "segment int, twice binary")

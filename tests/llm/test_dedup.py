@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import exact_dedup, line_dedup, near_dedup
 from rollcall.llm.components import components
@@ -136,3 +137,11 @@ def test_line_windows_equal_brute_force(docs_of):
 def test_line_dedup_is_native(docs_of, name):
     plan = line_dedup.remove_repeated_lines(docs_of(HARD))._jdf.queryExecution().executedPlan()
     assert name not in plan.toString()
+
+
+def test_rows_are_hashed_in_as_many_tasks_as_they_are_read(spark, monkeypatch):
+    # The hash is the number of the task's partition, which fewer tasks for the filter would lower.
+    monkeypatch.setattr(exact_dedup, "BUILDERS", 1)
+    rows = spark.range(0, 4, 1, 4)
+    found = exact_dedup.with_repeat_flag(rows, "maybe", F.xxhash64(F.spark_partition_id()))
+    assert [r["maybe"] for r in found.collect()] == [False] * 4
