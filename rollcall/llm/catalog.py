@@ -14,6 +14,7 @@ from rollcall.llm import (
     chat_format,
     exact_dedup,
     fingerprint,
+    hard_negatives,
     language,
     line_dedup,
     near_dedup,
@@ -115,6 +116,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.expand(turns.unionByName(added)))
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 ORACLES["op6_warc"] = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -291,3 +299,27 @@ SELECT doc_id, round(evidence, 6) AS evidence, round(site, 6) AS site,
        1 / (1 + exp(-(evidence + site))) >= 0.5 AS kept
 FROM f
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+         list_inner_product(a.vec, o.vec)::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT
+         AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
