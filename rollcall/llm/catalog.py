@@ -20,6 +20,7 @@ from rollcall.llm import (
     near_dedup,
     packing,
     quality,
+    toxicity,
     warc,
 )
 from rollcall.llm.common import read
@@ -123,6 +124,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+@_query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 ORACLES["op6_warc"] = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
