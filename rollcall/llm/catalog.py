@@ -19,6 +19,7 @@ from rollcall.llm import (
     line_dedup,
     near_dedup,
     packing,
+    prefix_trie,
     quality,
     toxicity,
     warc,
@@ -117,6 +118,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.expand(turns.unionByName(added)))
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 @_query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -329,3 +335,46 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+# The unsigned CRC-32 of the decimal conv_id, bit by bit.
+_CRC = """
+  xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+    lambda crc, byte: list_reduce(range(8),
+      lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+      xor(crc, byte)), 4294967295), 4294967295)"""
+ORACLES["op11_prefix_trie"] = f"""
+WITH c AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+           ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT *, {_CRC} % 6 AS h FROM c
+), r AS (
+  SELECT h.conv_id, list_concat(coalesce(c.turns[1:h], []), h.turns[h + 1:]) AS turns
+  FROM h LEFT JOIN c ON c.conv_id = h.conv_id - h.conv_id % 100
+), m AS (
+  SELECT conv_id, len(turns) AS n, turns, unnest(range(len(turns) + 1)) AS depth FROM r
+), n AS (
+  SELECT turns[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')
+           AS ends,
+         coalesce(any_value(length(turns[depth].text)), 0) AS chars
+  FROM m GROUP BY 1, 2
+), l AS (
+  SELECT n.*, NOT EXISTS (
+           FROM n k WHERE k.depth = n.depth + 1 AND k.prefix[1:n.depth] = n.prefix) AS leaf
+  FROM n
+), s AS (
+  SELECT a.prefix, a.depth, count(*) FILTER (b.depth = a.depth + 1) AS n_children,
+         sum((b.n_convs - 1) * b.chars)::BIGINT AS saved_tokens,
+         count(*) FILTER (b.leaf) AS n_leaves
+  FROM n a JOIN l b ON b.depth >= a.depth AND b.prefix[1:a.depth] = a.prefix
+  GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+       s.saved_tokens, sha256(n.ends) AS ends_sha256,
+       CASE WHEN n.depth > 0 THEN sha256(concat_ws(':', length(n.prefix[n.depth].role)::VARCHAR,
+         n.prefix[n.depth].role, n.prefix[n.depth].text)) END AS turn_sha256
+FROM n JOIN s ON s.depth = n.depth AND s.prefix = n.prefix
+LEFT JOIN n p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
