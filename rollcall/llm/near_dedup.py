@@ -3,10 +3,12 @@
 Texts with the same set of shingles are one class from the start, whatever their number, and one
 member stands for them. Representatives that agree in a band meet in a bucket. First, each is
 compared with the smallest member of its buckets, on full sets, and links are united. That
-settles a bucket unless its other members still belong to different components. Of these, the
-ones outside the bucket's largest component go, as blocks of bounded size, against the bucket's
-members: inside a task, signatures rule out pairs far from the threshold, pairs united meanwhile
-are passed over, and full sets decide. Only links leave the task, never the pairs of a group.
+settles a bucket unless its other members still belong to different components. Such a bucket's
+members are packed into blocks of bounded size, with signatures and full sets, and pairs of blocks
+meet. Inside a task, the members outside the bucket's largest component are held against all:
+signatures rule out pairs far from the threshold, pairs united meanwhile or met in an earlier band
+are passed over, and full sets decide. Only links leave the task, never the pairs of a group, and
+every join before sees a member once per bucket.
 
 With 32 bands of 4 slots, two texts of similarity 0.75 miss each other in all bands with a
 probability of 0.684^32 = 5e-6, and less above. A pair that meets is ruled out by its signatures
@@ -32,8 +34,8 @@ SLOTS, WIDTH = 128, 4
 PERCENT = 75
 #: Least share of equal slots with which a pair of a crowded bucket is compared on full sets.
 LEAST_EQUAL = 0.55
-#: Rows of a bucket that one task compares with each other at most: a block and a stretch.
-QUERY_ROWS, STRETCH_ROWS = 256, 1024
+#: Members of a bucket in a block, and shingles of their sets together, on average.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
 BLOCK = 1 << 19
 
 
@@ -123,48 +125,83 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return store(compared, "near_compared")
 
 
-def _root(parents: dict[int, int], node: int) -> int:
-    while (up := parents.get(node, node)) != node:
-        parents[node] = parents.get(up, up)
-        node = up
-    return node
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text) with signature, bands and the whole set as bytes."""
+    for batch in batches:
+        data, starts = text_buffers(batch.column(1))
+        for first, last in blocks(starts, BLOCK):
+            part = slice(starts[first], starts[last])
+            hashes, at = shingle_sets(data[part], starts[first : last + 1] - starts[first])
+            signature = super_minhash(hashes, at, SLOTS)
+            bands = band_hashes(signature, WIDTH)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(first, last - first),
+                    pa.array([low.tobytes() for low in signature.astype(np.uint8)], pa.binary()),
+                    pa.array([own.tobytes() for own in bands], pa.binary()),
+                    pa.array(
+                        [hashes[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)],
+                        pa.binary(),
+                    ),
+                ],
+                ["id", "low_bytes", "band_bytes", "members"],
+            )
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links across components within each group (bucket, block, stretch): its first rows are the
-    queries, which every later row is compared with.
+class _Block:
+    """Some members of a bucket, with the component that each is known to be in."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.ids = rows.field("id").to_numpy()
+        self.groups = rows.field("group").to_numpy().copy()
+        self.queries = rows.field("query").to_numpy(zero_copy_only=False)
+        self.low = np.frombuffer(b"".join(rows.field("low_bytes").to_pylist()), np.uint8)
+        self.low = self.low.reshape(-1, SLOTS)
+        self.bands = np.frombuffer(b"".join(rows.field("band_bytes").to_pylist()), np.int64)
+        self.bands = self.bands.reshape(len(self.ids), -1)
+        self.sets = [np.frombuffer(own, np.uint64) for own in rows.field("members").to_pylist()]
+        self.sizes = np.array([len(own) for own in self.sets])
+
+
+def _links_across(bucket: int, one: _Block, other: _Block) -> list[tuple[int, int]]:
+    """Links between queries of ``one`` and members of ``other`` in different components.
+
+    Signatures rule out pairs far from the threshold, sizes those that cannot reach it; pairs that
+    also meet in an earlier band are left to that bucket. The likeliest are compared first on full
+    sets, and components that turn out to be one are passed over from then on, in both blocks.
     """
-    key, ids, groups, sets, parents = None, [], [], [], {}
-    lows = None
+    found = []
+    for k in np.flatnonzero(one.queries):
+        low, sizes = np.minimum(one.sizes[k], other.sizes), np.maximum(one.sizes[k], other.sizes)
+        near = np.flatnonzero((other.groups != one.groups[k]) & (100 * low >= PERCENT * sizes))
+        equal = (other.low[near] == one.low[k]).sum(axis=1)
+        near, equal = near[equal >= LEAST_EQUAL * SLOTS], equal[equal >= LEAST_EQUAL * SLOTS]
+        band = int(np.argmax(one.bands[k] == bucket))
+        fresh = ~(other.bands[near, :band] == one.bands[k, :band]).any(axis=1)
+        for m in near[fresh][np.argsort(-equal[fresh], kind="stable")]:
+            if (old := other.groups[m]) == (now := one.groups[k]):
+                continue
+            shared = _overlap(one.sets[k], other.sets[m])
+            if 100 * shared >= PERCENT * (one.sizes[k] + other.sizes[m] - shared):
+                found.append((int(one.ids[k]), int(other.ids[m])))
+                for block in (one, other):
+                    block.groups[block.groups == old] = now
+    return found
+
+
+def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links across components for rows (bucket, members of a block, of another one or NULL)."""
     for batch in batches:
-        columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
-        bucket, block, stretch, stream, id_, group = columns
-        low = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, SLOTS)
-        data, starts = text_buffers(batch.column(7))
         found = []
-        for first, last in blocks(starts, BLOCK):
-            part = slice(starts[first], starts[last])
-            hashes, at = shingle_sets(data[part], starts[first : last + 1] - starts[first])
-            for row in range(first, last):
-                own = hashes[at[row - first] : at[row - first + 1]]
-                if key != (now := (bucket[row], block[row], stretch[row])):
-                    key, ids, groups, sets, parents, lows = now, [], [], [], {}, []
-                if not stream[row]:
-                    ids.append(id_[row])
-                    groups.append(group[row])
-                    sets.append(own.copy())
-                    lows.append(low[row])
-                    continue
-                if isinstance(lows, list):
-                    lows = np.array(lows).reshape(-1, SLOTS)
-                equal = (lows == low[row]).sum(axis=1)
-                for k in np.flatnonzero(equal >= LEAST_EQUAL * SLOTS):
-                    one, two = _root(parents, groups[k]), _root(parents, group[row])
-                    if one != two:
-                        shared = _overlap(sets[k], own)
-                        if 100 * shared >= PERCENT * (len(sets[k]) + len(own) - shared):
-                            parents[one] = two
-                            found.append((ids[k], id_[row]))
+        for row in range(len(batch)):
+            bucket = batch.column(0)[row].as_py()
+            one = _Block(batch.column(1)[row].values)
+            if not batch.column(2)[row].is_valid:
+                found += _links_across(bucket, one, one)
+                continue
+            other = _Block(batch.column(2)[row].values)
+            found += _links_across(bucket, one, other)
+            found += _links_across(bucket, other, one)
         a, b = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
@@ -174,54 +211,63 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _open_links(crowded: DataFrame, members: DataFrame, joined: DataFrame, texts: DataFrame):
     """Links between members of different components (``joined``) of a bucket, of which the
     bucket's hub is not one: those are known.
+
+    Each member of an open bucket is joined with its set once; the bucket's members are packed
+    into blocks of bounded rows and bytes, and only pairs of whole blocks meet.
     """
     rest = (
         crowded.filter("id <> hub")
         .join(joined.withColumnRenamed("node", "id"), "id", "left")
-        .select("bucket", "id", F.coalesce("component", "id").alias("group"))
+        .join(members.filter("bands IS NOT NULL").select("id", "n_shingles").distinct(), "id")
+        .select("bucket", "id", F.coalesce("component", "id").alias("group"), "n_shingles")
     )
+    rest = store(rest, "near_rest")
     shape = (
         rest.groupBy("bucket", "group")
-        .agg(F.count("*").alias("rows"))
+        .agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
         .groupBy("bucket")
         .agg(
             F.count("*").alias("groups"),
             F.max_by("group", F.struct("rows", "group")).alias("largest"),
             F.sum("rows").alias("rows"),
-            (F.sum("rows") - F.max("rows")).alias("queries"),
+            F.sum("shingles").alias("shingles"),
         )
         .filter("groups > 1")
         .select(
             "bucket",
             "largest",
-            F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("n_blocks"),
-            F.ceil(F.col("rows") / STRETCH_ROWS).cast("int").alias("n_stretches"),
+            F.ceil(
+                F.greatest(F.col("rows") / BLOCK_ROWS, F.col("shingles") / BLOCK_SHINGLES)
+            ).cast("int").alias("n_blocks"),
         )
     )
-    rest = rest.join(store(shape, "near_shapes"), "bucket")
-    block = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
-    stretch = F.pmod(F.xxhash64("id", F.lit(1)), F.col("n_stretches")).cast("int")
-    all_blocks = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    all_stretches = F.explode(F.sequence(F.lit(0), F.col("n_stretches") - 1))
-    queries = rest.filter("group <> largest").select(
-        "bucket", block.alias("block"), all_stretches.alias("stretch"),
-        F.lit(False).alias("stream"), "id", "group",
+    open_ = store(rest.join(store(shape, "near_shapes"), "bucket"), "near_open")
+    used = open_.select(F.col("id").alias("doc_id")).distinct()
+    sets = (
+        texts.join(used.hint("merge"), "doc_id", "left_semi")
+        .select(F.col("doc_id").alias("id"), "text")
+        .mapInArrow(_sets, "id long, low_bytes binary, band_bytes binary, members binary")
+    )
+    with _rows_per_batch(crowded.sparkSession, 500):
+        sets = store(sets, "near_sets")
+    row = F.struct(
+        "id", "group", (F.col("group") != F.col("largest")).alias("query"), "low_bytes",
+        "band_bytes", "members",
     )
-    against = rest.select(
-        "bucket", all_blocks.alias("block"), stretch.alias("stretch"),
-        F.lit(True).alias("stream"), "id", "group",
+    packed = (
+        open_.join(sets, "id")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+        .groupBy("bucket", "block")
+        .agg(F.collect_list(row).alias("rows"))
     )
-    place = ["bucket", "block", "stretch"]
-    full = (
-        queries.unionByName(against)
-        .join(members.filter("bands IS NOT NULL").select("id", "low_bytes").distinct(), "id")
-        .join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
-        .select(*place, "stream", "id", "group", "low_bytes", "text")
-        .repartition(*place)
-        .sortWithinPartitions(*place, "stream", "id")
+    packed = store(packed, "near_blocks")
+    others = packed.select("bucket", F.col("block").alias("other"), F.col("rows").alias("others"))
+    pairs = (
+        packed.join(others, "bucket").filter("block <= other")
+        .select("bucket", "rows", F.when(F.col("block") < F.col("other"), F.col("others")))
     )
-    with _rows_per_batch(crowded.sparkSession, 1000):
-        return store(full.mapInArrow(_resolve, "a long, b long"), "near_open_links")
+    with _rows_per_batch(crowded.sparkSession, 1):
+        return store(pairs.mapInArrow(_resolve, "a long, b long"), "near_open_links")
 
 
 def _linked() -> Column:
@@ -256,7 +302,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = F.col("doc_id") == F.col("id")
     members = store(
         some.join(classes, key).select(
-            "doc_id", "id", F.when(first, F.col("bands")).alias("bands"),
+            "doc_id", "id", "n_shingles", F.when(first, F.col("bands")).alias("bands"),
             F.when(first, F.col("low_bytes")).alias("low_bytes"),
         ),
         "near_members",
