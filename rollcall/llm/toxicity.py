@@ -48,6 +48,8 @@ STRONG, SURE = 3.5, 20.0
 #: Largest share of a word's toxic documents that may have the same strongest other word.
 SAME_COMPANY = 0.8
 TOXIC_FROM = 0.3
+#: Most words (two or three numbers each) that are sent to all executors; more are joined.
+BROADCAST_WORDS = 1_000_000
 
 _SYMBOLS = 59
 _BLOCK = 1 << 19
@@ -317,6 +319,11 @@ def _words(model: np.ndarray):
     return read
 
 
+def _small(words: DataFrame) -> DataFrame:
+    """A stored table of words, broadcast if its rows are few enough for every task to hold."""
+    return F.broadcast(words) if words.count() <= BROADCAST_WORDS else words
+
+
 def _strong_words(marked: DataFrame, share: float, prior: float) -> DataFrame:
     """``word``, ``evidence``, ``ratio`` of the words that pass the tests of strength."""
     with_, without = F.col("toxic") + SHRINK * share, F.col("clean") + SHRINK * (1 - share)
@@ -343,9 +350,10 @@ def _evidence(marked: DataFrame) -> tuple[DataFrame, float]:
     share = ((toxic or 0) + 0.1) / (rows + 1)
     prior = float(np.log(share / (1 - share)))
     strong = store(_strong_words(marked, share, prior), "toxic_words")
-    held = (
+    held = store(
         marked.filter("toxic = 1").select("row", F.explode("words").alias("word"))
-        .join(strong.select("word", "ratio"), "word")
+        .join(_small(strong.select("word", "ratio")), "word"),
+        "toxic_held",
     )
     # The two strongest of a document; without another one, the document is company of its own.
     order = F.struct("ratio", "word")
@@ -400,10 +408,12 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.max("toxic").cast("long").alias("toxic"))
         .filter(~held_out())
     )
-    evidence, prior = _evidence(read.join(known, "doc_id").select("row", "words", "toxic"))
+    # Merged at any size: labels grow with the documents.
+    marked = read.join(known.hint("merge"), "doc_id").select("row", "words", "toxic")
+    evidence, prior = _evidence(store(marked, "toxic_marked"))
     found = (
         read.select("row", F.explode("words").alias("word"))
-        .join(evidence, "word")
+        .join(_small(evidence), "word")
         .groupBy("row")
         .agg(F.sum("evidence").alias("evidence"))
     )
