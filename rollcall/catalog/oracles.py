@@ -181,6 +181,8 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["attendance_mart"] = f"WITH {MART} SELECT * FROM mart"
 
+ORACLES["attendance_mart_bucketed"] = ORACLES["attendance_mart"]
+
 # --- sources and sinks ---------------------------------------------------------------------
 
 # Inferred types: a column whose values fit 32 bits comes back as INTEGER.
@@ -191,6 +193,10 @@ SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS
 ORACLES["scan_csv_saved"] = """
 SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang, source,
   CAST(n_chars AS INTEGER) AS n_chars FROM documents"""
+ORACLES["saved_csv_types"] = """
+SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 12, '0') AS code,
+  o_custkey || '.' || (o_orderkey % 10) || '0' AS amount, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  o_totalprice, CASE WHEN o_custkey % 3 = 0 THEN o_custkey END AS customer FROM orders"""
 for _sink in ("sink_csv", "sink_parquet", "sink_json"):
     ORACLES[_sink] = f"WITH {MART} SELECT * FROM mart"
 # In the data compared, each table is one file.
@@ -288,6 +294,18 @@ cleaned AS (
     " HAVING (SELECT COUNT(*) - COUNT({v}) FROM unclean) > 0",
     _UNCLEAN_COLUMNS[2:],
 )
+ORACLES["save_cleaned"] = f"""
+WITH {UNCLEAN},
+cleaned AS (
+  SELECT l_orderkey, COALESCE(l_linenumber, -1) AS l_linenumber,
+    COALESCE(flag_s, 'MISSING') AS flag_s,
+    COALESCE(quantity_i, -1) AS quantity_i, part_l, price_d,
+    COALESCE(supplier_s, 'MISSING') AS supplier_s FROM unclean)
+""" + _each(
+    "SELECT '{v}' AS column_name, (SELECT COUNT(*) - COUNT({v}) FROM unclean) AS null_count,"
+    " COUNT(*) - COUNT({v}) AS remaining_nulls FROM cleaned",
+    _UNCLEAN_COLUMNS,
+)
 ORACLES["suppressed_to_number"] = f"""
 WITH {UNCLEAN} SELECT CAST(SUM(TRY_CAST(supplier_s AS BIGINT)) AS BIGINT) AS supplier_s_sum
 FROM unclean"""

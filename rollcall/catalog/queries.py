@@ -7,7 +7,7 @@ of ``oracles.py``; the operators themselves return exact values.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +27,12 @@ from rollcall.operators import (
 from rollcall.plans import (
     LEVELS,
     MART_SCHEMA,
+    apply_settings,
+    build_attendance_mart,
     build_unclean_lines,
     load_attendance_mart,
     read_table,
+    save_mart_inputs,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,8 +54,14 @@ TABLES = (
 
 
 def _query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register ``function``, run with the recommended settings: they touch large tables only."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(apply_settings(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -77,6 +86,20 @@ def attendance_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_attendance_mart(spark, sf_dir, LEVELS, school_counts=True)
 
 
+@_query
+def attendance_mart_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart over lines and orders that are saved in buckets of the order key first."""
+    path = sources.scratch_path(spark, "mart_inputs")
+    lineitem, orders, *dimensions = (
+        read_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation", "region")
+    )
+    inputs = save_mart_inputs(
+        lineitem, orders, f"mart_inputs_{path[-32:]}", path,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    return build_attendance_mart(*inputs, *dimensions)
+
+
 def _regional(spark: SparkSession, sf_dir: str, periods: Periods = None) -> DataFrame:
     return load_attendance_mart(spark, sf_dir, ("Regional",), periods=periods)
 
@@ -115,6 +138,22 @@ def scan_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_csv_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sources.scratch_path(spark, "scan_csv_saved")
     sources.save(read_table(spark, sf_dir, "documents"), path, rows_per_file=10_000)
+    return sources.read_saved_csv(spark, path, infer=True)
+
+
+@_query
+def saved_csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of digits, amounts and dates, and numbers, as they were saved."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("code"),
+        F.format_string("%d.%s0", F.col("o_custkey"), F.col("o_orderkey") % 10).alias("amount"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        "o_totalprice",
+        F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("customer"),
+    )
+    path = sources.scratch_path(spark, "saved_csv_types")
+    sources.save(orders, path, rows_per_file=ROWS_PER_CSV_FILE)
     return sources.read_saved_csv(spark, path)
 
 
@@ -291,6 +330,13 @@ def remaining_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.remaining_nulls(_unclean(spark, sf_dir))
 
 
+@_query
+def save_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs before and after cleaning, counted while the cleaned lines are written."""
+    path = sources.scratch_path(spark, "save_cleaned")
+    return cleaning.save_cleaned(_unclean(spark, sf_dir), path, "parquet", ["supplier_s"])
+
+
 @_query
 def suppressed_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.suppressed_sum(_unclean(spark, sf_dir), "supplier_s")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from rollcall.functions import column, to_rows
+from rollcall.sources import save
 
 # What stands in for a missing number, a missing text and a suppressed number,
 # and the mark of a suppressed number.
@@ -109,6 +110,31 @@ def remaining_nulls(df: DataFrame) -> DataFrame:
     return to_rows(counted, rows).filter(F.col("before") > 0).drop("before")
 
 
+def save_cleaned(
+    df: DataFrame,
+    path: str,
+    file_format: str = "csv",
+    suppressed: Sequence[str] | None = None,
+    mode: str = "errorifexists",
+) -> DataFrame:
+    """Write the cleaned table and return ``(column_name, null_count, remaining_nulls)`` of every
+    column, from one pass: the counts are observed while the rows are written. Only if
+    ``suppressed`` is not given does finding its columns need a pass of its own.
+
+    Writing is the last stage, whose tasks count once however often they are tried.
+    """
+    before, after = Observation(), Observation()
+    nulls = [F.count_if(column(name).isNull()).alias(f"c{i}") for i, name in enumerate(df.columns)]
+    cleaned = clean_nulls(df.observe(before, *nulls), suppressed).observe(after, *nulls)
+    save(cleaned, path, file_format, mode)
+    found = [
+        (name, before.get[f"c{i}"], after.get[f"c{i}"]) for i, name in enumerate(df.columns)
+    ]
+    return df.sparkSession.createDataFrame(
+        found, "column_name string, null_count long, remaining_nulls long"
+    )
+
+
 def suppressed_sum(df: DataFrame, name: str) -> DataFrame:
     """Sum of a numeric text column, suppressed and other non-numeric values left out."""
     return df.agg(F.sum(column(name).try_cast("bigint")).alias(f"{name}_sum"))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.plans.tables import read_table
+from rollcall.sources import save_bucketed
 
 # Geographic levels, coarse to fine, and the marker for "all school types".
 NATIONAL = "National"
@@ -83,6 +84,31 @@ def load_attendance_mart(
     )
 
 
+def fold_lines(lineitem: DataFrame) -> DataFrame:
+    """The lines with whole quantities summed per order, flag and line number: the mart over them
+    is that over the lines, and an order with very many lines is a few rows.
+    """
+    return lineitem.groupBy("l_orderkey", "l_returnflag", "l_linenumber").agg(
+        F.expr("sum(cast(l_quantity AS bigint)) AS l_quantity")
+    )
+
+
+def save_mart_inputs(
+    lineitem: DataFrame, orders: DataFrame, name: str, path: str, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """Lines (folded) and orders as the tables ``name``_lines and ``name``_orders with files under
+    ``path``, both in ``buckets`` by the order key. A mart built from what is returned sums and
+    joins them without a shuffle of either; write them once, use them for every later mart.
+    """
+    lines = save_bucketed(
+        fold_lines(lineitem), f"{name}_lines", f"{path}/lines", ["l_orderkey"], buckets
+    )
+    kept = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return lines, save_bucketed(
+        kept, f"{name}_orders", f"{path}/orders", ["o_orderkey"], buckets
+    )
+
+
 def build_attendance_mart(
     lineitem: DataFrame,
     orders: DataFrame,

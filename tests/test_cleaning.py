@@ -71,3 +71,30 @@ def test_cleaning_an_empty_or_textless_table(spark, dirty):
 def test_sum_over_suppressed_numbers(spark):
     df = spark.createDataFrame([("5",), (":",), (None,), ("7",), ("MISSING",)], "n string")
     assert dicts(cleaning.suppressed_sum(df, "n")) == [{"n_sum": 12}]
+
+
+def _jobs(spark, run):
+    tracker, group = spark.sparkContext.statusTracker(), f"counted-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = run()
+        return result, len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_saving_and_counting_is_one_job(spark, dirty, tmp_path):
+    path = str(tmp_path / "cleaned")
+    found, jobs = _jobs(
+        spark, lambda: cleaning.save_cleaned(dirty.repartition(1), path, "parquet", ["marked"])
+    )
+    assert jobs == 1 + 1  # the shuffle of this test's repartition, and the write
+    assert {tuple(r) for r in found.collect()} == {
+        ("id", 0, 0), ("gaps", 1, 0), ("big", 1, 1), ("rate", 1, 1), ("marked", 1, 0), ("full", 0, 0),
+    }
+    assert _rows(spark.read.parquet(path)) == _rows(cleaning.clean_nulls(dirty, ["marked"]))
+
+
+def test_saving_an_empty_table_counts_nothing(dirty, tmp_path):
+    found = cleaning.save_cleaned(dirty.limit(0), str(tmp_path / "none"))
+    assert {tuple(r)[1:] for r in found.collect()} == {(0, 0)}

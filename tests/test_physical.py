@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from rollcall.catalog import QUERIES
 from rollcall.operators import predicates
-from rollcall.plans import load_attendance_mart
+from rollcall.plans import (
+    RECOMMENDED,
+    apply_settings,
+    build_attendance_mart,
+    fold_lines,
+    load_attendance_mart,
+    read_table,
+    save_mart_inputs,
+)
+from rollcall.sources import attach_bucketed, scratch_path
 
 DATA = "/root/testdata/sf0.001"
 
@@ -147,3 +156,120 @@ def test_comparison_of_bigints_reaches_the_scan(spark):
     lineitem = spark.read.parquet(f"{DATA}/lineitem.parquet")
     chosen = lineitem.filter(predicates.greater(lineitem, "l_orderkey", "900"))
     assert "GreaterThan(l_orderkey,900)" in _formatted(chosen)
+
+
+PERIOD_KEYS = (
+    "period_single", "period_range", "enrolment_one_year", "enrolment_year_range",
+    "authorised_reason_breakdown", "authorised_reason_totals", "unauthorised_by_region",
+    "unauthorised_by_la", "unauthorised_overall", "la_presence", "la_compare_totals",
+    "la_compare_rates",
+)
+
+
+@pytest.fixture
+def large_tables(spark):
+    """The recommended settings, and lines of any size treated as lines of 10 GB are."""
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = {name: spark.conf.get(name, None) for name in (*RECOMMENDED, size)}
+    apply_settings(spark).conf.set(size, "0")
+    yield spark
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("key", PERIOD_KEYS)
+def test_lines_meet_a_filter_of_the_order_keys_where_they_are_read(large_tables, key):
+    if key.startswith("enrolment"):  # the pivot reads a stored table, made from this one
+        mart = load_attendance_mart(large_tables, DATA, ("Local authority",), periods=(199697,) * 2)
+    else:
+        mart = QUERIES[key](large_tables, DATA)
+    plan = _optimized(mart)
+    found = re.search(r"Filter .*might_contain\(scalar-subquery.*xxhash64\(l_orderkey", plan)
+    summed = re.search(r"Aggregate \[l_orderkey", plan)
+    assert found and summed.start() < found.start()  # below the sums, so before the shuffle
+
+
+def test_the_filter_changes_no_row(spark, large_tables):
+    def rows():
+        mart = load_attendance_mart(spark, DATA, periods=(199697, 199798), school_counts=True)
+        return sorted(map(repr, mart.collect()))
+
+    found = rows()
+    large_tables.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+    assert rows() == found and found
+
+
+def test_operators_leave_the_settings_alone_and_queries_set_the_recommended(spark):
+    name = "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold"
+    spark.conf.unset(name)
+    load_attendance_mart(spark, DATA, periods=(199697, 199697)).collect()
+    assert spark.conf.get(name) == "10MB"
+    QUERIES["period_single"](spark, DATA)
+    assert {key: spark.conf.get(key) for key in RECOMMENDED} == RECOMMENDED
+
+
+def _tables(spark):
+    names = ("lineitem", "orders", "customer", "nation", "region")
+    return [read_table(spark, DATA, name) for name in names]
+
+
+def _no_broadcast(spark, run):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        return run()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_bucketed_inputs_are_summed_and_joined_without_a_shuffle(spark):
+    lineitem, orders, *dimensions = _tables(spark)
+    path = scratch_path(spark, "bucketed")
+    saved = save_mart_inputs(lineitem, orders, "bucketed_inputs", path, 6)
+    mart = build_attendance_mart(*saved, *dimensions)
+    plan = _no_broadcast(spark, lambda: _planned(mart))
+    for table in ("bucketed_inputs_lines", "bucketed_inputs_orders"):
+        above = plan.split(f"FileScan parquet spark_catalog.default.{table}")[0]
+        # Going up from the scan, the join of both tables comes before any exchange.
+        assert above.rindex("SortMergeJoin [o_orderkey") > above.rindex("Exchange")
+    expected = sorted(map(repr, load_attendance_mart(spark, DATA, school_counts=True).collect()))
+    assert sorted(map(repr, mart.collect())) == expected
+    for name in ("lines", "orders"):
+        spark.sql(f"DROP TABLE bucketed_inputs_{name}")
+    again = [
+        attach_bucketed(spark, f"attached_{n}", f"{path}/{n}", s.schema, [s.columns[0]], 6)
+        for n, s in zip(("lines", "orders"), saved, strict=True)
+    ]
+    mart = build_attendance_mart(*again, *dimensions)
+    plan = _no_broadcast(spark, lambda: _planned(mart))
+    above = plan.split("FileScan parquet spark_catalog.default.attached_lines")[0]
+    assert above.rindex("SortMergeJoin [o_orderkey") > above.rindex("Exchange")
+    assert sorted(map(repr, mart.collect())) == expected
+    for name in ("lines", "orders"):
+        spark.sql(f"DROP TABLE attached_{name}")
+
+
+def test_a_hot_order_is_a_few_rows_of_its_bucket(spark):
+    lineitem, orders, *dimensions = _tables(spark)
+    hot = F.when(F.rand(1) < 0.4, F.lit(5)).otherwise(F.col("l_orderkey")).cast("bigint")
+    lineitem = spark.createDataFrame(
+        lineitem.withColumn("l_orderkey", hot).collect(), lineitem.schema
+    ).unionByName(lineitem.limit(3).withColumns(
+        {"l_orderkey": F.lit(None).cast("bigint"), "l_quantity": F.lit(0.7)}))
+    folded = fold_lines(lineitem)
+    assert folded.filter("l_orderkey = 5").count() <= 21
+    path = scratch_path(spark, "hot")
+    saved = save_mart_inputs(lineitem, orders, "hot_inputs", path, 3)
+    found = build_attendance_mart(*saved, *dimensions).collect()
+    expected = build_attendance_mart(lineitem, orders, *dimensions).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+    for name in ("lines", "orders"):
+        spark.sql(f"DROP TABLE hot_inputs_{name}")

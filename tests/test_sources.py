@@ -184,3 +184,101 @@ def test_a_cluster_must_name_its_shared_folder():
     shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/")
     assert sources.scratch_path(shared, "x").startswith("hdfs://shared/x-")
     assert "rollcall-" in sources.scratch_path(_Session(spark_master="local[2]"), "x")
+
+
+TEXTS = [
+    (7, "007", "1.50", "2020-01-01", 5_000_000_000, None),
+    (8, "010", "-0", "2020-01-01 00:00:00", 1, 1.5),
+    (9, "", None, "true", None, None),
+]
+TEXT_SCHEMA = "id int, code string, amount string, day string, big bigint, rate double"
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json"])
+def test_digits_amounts_and_dates_stay_texts(spark, tmp_path, file_format):
+    df = spark.createDataFrame(TEXTS, TEXT_SCHEMA)
+    path = str(tmp_path / "texts")
+    sources.save(df, path, file_format)
+    read = {"csv": sources.read_saved_csv, "json": sources.read_saved_json}[file_format]
+    back = read(spark, path)
+    assert back.dtypes == df.dtypes
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    sources.save(df, path, file_format, "append")
+    assert read(spark, path).count() == 6
+    with pytest.raises(ValueError, match="was saved with"):
+        sources.save(df.withColumn("id", df["id"].cast("bigint")), path, file_format, "append")
+    assert read(spark, path).count() == 6
+    sources.save(spark.range(2), path, file_format, "overwrite")
+    assert read(spark, path).dtypes == [("id", "bigint")]
+
+
+def test_types_are_inferred_only_without_a_stored_schema(spark, tmp_path):
+    df = spark.createDataFrame([("007", "x")], "code string, name string")
+    path = str(tmp_path / "inferred")
+    sources.save(df, path)
+    assert sources.read_saved_csv(spark, path, infer=True).dtypes[0] == ("code", "int")
+    assert sources.read_saved_csv(spark, path).first()["code"] == "007"
+    foreign = str(tmp_path / "foreign")
+    df.write.option("header", True).csv(foreign)
+    assert sources.stored_schema(spark, foreign) is None
+    assert sources.read_saved_csv(spark, foreign).dtypes[0] == ("code", "int")
+
+
+def test_the_schema_is_no_data_and_no_listed_file(spark, tmp_path):
+    path = str(tmp_path / "listed")
+    sources.save(spark.range(4).coalesce(1), path)
+    assert sources.list_files(spark, path).count() == 1
+    assert sources.read_saved_csv(spark, path).count() == 4
+
+
+def test_partitioned_csv_keeps_its_types(spark, tmp_path):
+    df = spark.createDataFrame([("01", "007", 1), ("02", "1.0", 2)], "level string, t string, n int")
+    path = str(tmp_path / "levels")
+    sources.save(df, path, partition_by=["level"])
+    back = sources.read_saved_csv(spark, path).select(df.columns)
+    assert back.dtypes == df.dtypes
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_partitioned_saving_writes_few_files_of_even_size(spark, tmp_path):
+    """Twenty levels, one with half of the rows, from thirty tasks: without rebalancing, up to
+    600 files.
+    """
+    level = "if(id % 2 = 0, 0, id % 20)"
+    df = spark.range(0, 300_000, 1, 30).selectExpr(f"{level} AS level", "id", "uuid() AS text")
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sources.save(df, str(tmp_path / "even"), "parquet", partition_by=["level"])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    df.write.partitionBy("level").parquet(str(tmp_path / "plain"))
+    even, plain = (
+        {r["directory"]: r["file_count"] for r in
+         sources.list_directories(spark, str(tmp_path / name)).collect()}
+        for name in ("even", "plain")
+    )
+    assert sum(plain.values()) == 330 and sum(even.values()) <= 60
+    hot = even.pop("level=0")
+    assert hot >= 4 and max(even.values()) <= 3  # the hot level is split, the others are not
+    back = spark.read.parquet(str(tmp_path / "even"))
+    assert back.count() == 300_000 and back.select("id").distinct().count() == 300_000
+
+
+def test_bucketed_table_has_one_sorted_file_a_bucket(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id", "if(id % 9 = 0, NULL, 'x') AS `a.b`")
+    path = str(tmp_path / "bucketed")
+    saved = sources.save_bucketed(df, "saved_in_buckets", path, ["k"], 4)
+    assert len(saved.inputFiles()) == 4
+    assert sorted(map(repr, saved.collect())) == sorted(map(repr, df.collect()))
+    plan = saved.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(AnalysisException):
+        sources.save_bucketed(df, "saved_in_buckets", path, ["k"], 4)
+    spark.sql("DROP TABLE saved_in_buckets")
