@@ -79,17 +79,36 @@ def test_near_duplicates_without_ids_take_no_part(docs_of):
     assert near_dedup.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
+def _loose_copies(n):
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 10_000)}" for _ in range(150)]
+    return [(i, " ".join(_edited(rng, base, 0.025))) for i in range(n)]
+
+
 def test_a_large_group_of_loose_copies_is_whole(docs_of, monkeypatch):
     """Copies so far from each other that many are linked through third ones only; with small
-    blocks and stretches, a group is dealt over many tasks.
+    blocks, a group is dealt over many tasks. Rows of the joins grow with the copies, not with
+    their square.
     """
-    monkeypatch.setattr(near_dedup, "QUERY_ROWS", 16)
-    monkeypatch.setattr(near_dedup, "STRETCH_ROWS", 32)
-    rng = random.Random(3)
-    base = [f"w{rng.randint(0, 10_000)}" for _ in range(150)]
-    rows = [(i, " ".join(_edited(rng, base, 0.025))) for i in range(300)]
-    got = {tuple(r) for r in near_dedup.near_duplicates(docs_of(rows)).collect()}
-    assert got == brute.near_duplicates(rows)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 64)
+    stored = Counter()
+    store = near_dedup.store
+
+    def counting(df, label):
+        made = store(df, label)
+        stored[label] += made.count()
+        return made
+
+    monkeypatch.setattr(near_dedup, "store", counting)
+    joined = []
+    for n in (150, 300, 600):
+        stored.clear()
+        rows = _loose_copies(n)
+        got = {tuple(r) for r in near_dedup.near_duplicates(docs_of(rows)).collect()}
+        assert got == brute.near_duplicates(rows)
+        assert stored["near_blocks"] > 0
+        joined.append(sum(stored.values()))
+    assert joined[1] <= 2.2 * joined[0] and joined[2] <= 2.2 * joined[1], joined
 
 
 def test_components_of_chains_stars_and_rings(spark):
