@@ -62,8 +62,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = slice(starts[first], starts[last])
             hashes, at = shingle_sets(data[part], starts[first : last + 1] - starts[first])
             key_1, key_2 = set_keys(hashes, at)
-            signature = super_minhash(hashes, at, SLOTS)
-            bands = band_hashes(signature, WIDTH)
+            bands = band_hashes(super_minhash(hashes, at, SLOTS), WIDTH)
             ends = np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -72,9 +71,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     _long(key_1),
                     _long(key_2),
                     pa.ListArray.from_arrays(pa.array(ends), _long(bands.reshape(-1))),
-                    pa.array([low.tobytes() for low in signature.astype(np.uint8)], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "key_1", "key_2", "bands", "low_bytes"],
+                ["doc_id", "n_shingles", "key_1", "key_2", "bands"],
             )
 
 
@@ -208,7 +206,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _open_links(crowded: DataFrame, members: DataFrame, joined: DataFrame, texts: DataFrame):
+def _open_links(crowded: DataFrame, joined: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between members of different components (``joined``) of a bucket, of which the
     bucket's hub is not one: those are known.
 
@@ -218,10 +216,8 @@ def _open_links(crowded: DataFrame, members: DataFrame, joined: DataFrame, texts
     rest = (
         crowded.filter("id <> hub")
         .join(joined.withColumnRenamed("node", "id"), "id", "left")
-        .join(members.filter("bands IS NOT NULL").select("id", "n_shingles").distinct(), "id")
         .select("bucket", "id", F.coalesce("component", "id").alias("group"), "n_shingles")
     )
-    rest = store(rest, "near_rest")
     shape = (
         rest.groupBy("bucket", "group")
         .agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
@@ -254,20 +250,26 @@ def _open_links(crowded: DataFrame, members: DataFrame, joined: DataFrame, texts
         "id", "group", (F.col("group") != F.col("largest")).alias("query"), "low_bytes",
         "band_bytes", "members",
     )
-    packed = (
-        open_.join(sets, "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
-        .groupBy("bucket", "block")
-        .agg(F.collect_list(row).alias("rows"))
+
+    def packed(rows: DataFrame) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
+        return (
+            rows.join(sets, "id").withColumn("block", block)
+            .groupBy("bucket", "block").agg(F.collect_list(row).alias("rows"))
+        )
+
+    # Most buckets are one block, which is compared with itself; only the others are joined.
+    alone = packed(open_.filter("n_blocks = 1")).select(
+        "bucket", "rows", F.lit(None).cast(packed(open_).schema["rows"].dataType).alias("others")
     )
-    packed = store(packed, "near_blocks")
-    others = packed.select("bucket", F.col("block").alias("other"), F.col("rows").alias("others"))
-    pairs = (
-        packed.join(others, "bucket").filter("block <= other")
-        .select("bucket", "rows", F.when(F.col("block") < F.col("other"), F.col("others")))
+    several = store(packed(open_.filter("n_blocks > 1")), "near_blocks")
+    others = several.select("bucket", F.col("block").alias("other"), F.col("rows").alias("others"))
+    pairs = several.join(others, "bucket").filter("block <= other").select(
+        "bucket", "rows", F.when(F.col("block") < F.col("other"), F.col("others")).alias("others")
     )
     with _rows_per_batch(crowded.sparkSession, 1):
-        return store(pairs.mapInArrow(_resolve, "a long, b long"), "near_open_links")
+        links = alone.unionByName(pairs).mapInArrow(_resolve, "a long, b long")
+        return store(links, "near_open_links")
 
 
 def _linked() -> Column:
@@ -290,8 +292,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = store(
         rows.mapInArrow(
             _sketch,
-            "doc_id long, n_shingles long, key_1 long, key_2 long, bands array<long>,"
-            " low_bytes binary",
+            "doc_id long, n_shingles long, key_1 long, key_2 long, bands array<long>",
         ),
         "near_sketches",
     )
@@ -303,11 +304,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = store(
         some.join(classes, key).select(
             "doc_id", "id", "n_shingles", F.when(first, F.col("bands")).alias("bands"),
-            F.when(first, F.col("low_bytes")).alias("low_bytes"),
         ),
         "near_members",
     )
-    banded = members.filter("bands IS NOT NULL").select("id", F.explode("bands").alias("bucket"))
+    banded = members.filter("bands IS NOT NULL").select(
+        "id", "n_shingles", F.explode("bands").alias("bucket")
+    )
     hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
     hubs = store(hubs.filter("hub <> last").drop("last"), "near_hubs")
     crowded = store(banded.join(hubs, "bucket").distinct(), "near_buckets")
@@ -321,7 +323,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("hub").alias("a"), F.col("id").alias("b"))
     )
     joined = store(components(links), "near_joined")
-    more = _open_links(crowded, members, joined, texts)
+    more = _open_links(crowded, joined, texts)
     final = components(links.unionByName(more))
     ids = members.select("doc_id", "id").distinct()
     placed = store(

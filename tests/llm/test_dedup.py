@@ -101,7 +101,7 @@ def test_a_large_group_of_loose_copies_is_whole(docs_of, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "store", counting)
     joined = []
-    for n in (150, 300, 600):
+    for n in (250, 500, 1000):
         stored.clear()
         rows = _loose_copies(n)
         got = {tuple(r) for r in near_dedup.near_duplicates(docs_of(rows)).collect()}
