@@ -1,14 +1,18 @@
 """How many sequences of which composition hold all pieces, from the histogram of their lengths.
 
 The histogram has at most ``capacity`` entries, so this runs on the driver, whatever the number of
-pieces. Best fit gives a first plan. If it needs at most ``GAP`` more sequences than all tokens do
-without any waste, nothing better is looked for. Otherwise the configuration linear program (one
-variable per composition that fits a sequence, one covering row per length) is solved by column
-generation: a basis of as many compositions as lengths, the weight of each length from it, and a
-knapsack over the weights that finds compositions worth more than a sequence. It ends when the
-bound that the weights prove is within ``GAP`` of the solution, however many steps that takes.
-The solution rounded down is used, best fit places the rest (less than one sequence per distinct
-length of the linear program), and the better of the two plans counts.
+pieces. The plan is a configuration linear program: one variable per composition that fits a
+sequence, one covering row per length, as few sequences as possible. It is solved by multiplicative
+weights. A length's weight falls with the share of its pieces that is covered; a knapsack over the
+weights (dynamic programming over the room) gives the best composition through each length; of
+those, the ones through the least covered lengths are used until these have risen by a step. When
+all are covered, the compositions used, scaled, are the averaged solution, and the weights prove
+a lower bound: their worth of all pieces over that of the best composition. If the solution is
+more than ``GAP`` above the bound, the next pass starts from the average weights with half the step.
+
+The solution is rounded down, amounts carried from one composition to the next, as far as there are
+pieces. What is left is solved (in one pass) and rounded again while it needs more sequences than it
+has lengths; best fit places the rest.
 """
 
 from __future__ import annotations
@@ -17,126 +21,110 @@ from collections import defaultdict
 
 import numpy as np
 
-#: A plan or solution this near to a proven lower bound, as a part of it, is not improved further.
-GAP = 1e-3
-#: What counts as zero in the simplex steps.
-_TINY = 1e-9
-#: How near to the best weights so far the next ones are looked for.
-_PULL = 0.8
+#: A solution this near to the proven bound, as a part of it, ends the passes; so does a step
+#: below ``LEAST_STEP`` (the sixth pass), as weights then change by less than the gap matters.
+GAP, LEAST_STEP = 0.11, 1e-3
+#: Share of a length's pieces covered in a step of the first pass, and how fast weights fall with it.
+STEP, RATE = 0.02, 20.0
+#: Least covered lengths served in a step: this part of all, but at least eight.
+SERVED = 20
 
 
 def _knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int):
     """The largest value of a multiset of ``sizes`` (ascending) within each room up to
-    ``capacity``, and the size taken there, as its place; -1 where one unit is left empty.
+    ``capacity``, the size taken there, as its place, and the largest room up to each in which one
+    is taken (0: none).
     """
+    value, place = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    value[sizes], place[sizes] = values, np.arange(len(sizes))
     best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
+    total = np.empty(capacity)
+    for room in range(int(sizes[0]), capacity + 1):
+        np.add(value[1 : room + 1], best[room - 1 :: -1], out=total[:room])
+        size = int(total[:room].argmax()) + 1
         best[room] = best[room - 1]
-        if n := fits[room]:
-            total = values[:n] + best[room - sizes[:n]]
-            k = int(total.argmax())
-            if total[k] > best[room]:
-                best[room], last[room] = total[k], k
-    return best, last
-
-
-def _column(sizes: np.ndarray, last: np.ndarray, first: int, capacity: int) -> np.ndarray:
-    """How often the best composition with at least one of size ``first`` has each size."""
-    column = np.zeros(len(sizes))
-    column[first] = 1
-    room = capacity - int(sizes[first])
-    while room > 0:
-        if (k := last[room]) < 0:
-            room -= 1
-        else:
-            column[k] += 1
-            room -= int(sizes[k])
-    return column
-
-
-class _Basis:
-    """As many compositions (rows of ``columns``) as lengths, and how much of each is used."""
-
-    def __init__(self, demand: np.ndarray, most: np.ndarray):
-        self.columns, self.inverse = np.diag(most.astype(float)), np.diag(1.0 / most)
-        self.used = self.inverse @ demand
-
-    def weights(self) -> np.ndarray:
-        return self.inverse.sum(axis=0)
-
-    def enter(self, column: np.ndarray) -> bool:
-        """Takes ``column`` in for another one, if it is worth more than a sequence by now."""
-        some = np.flatnonzero(column)
-        moved = self.inverse[:, some] @ column[some]
-        if moved.sum() <= 1 + _TINY:
-            return False
-        rows = np.flatnonzero(moved > _TINY)
-        out = rows[(self.used[rows] / moved[rows]).argmin()]
-        step = self.used[out] / moved[out]
-        self.used = np.maximum(self.used - step * moved, 0)
-        self.used[out] = step
-        pivot = self.inverse[out] / moved[out]
-        others, cells = np.flatnonzero(moved), np.flatnonzero(pivot)
-        self.inverse[np.ix_(others, cells)] -= np.outer(moved[others], pivot[cells])
-        self.inverse[out] = pivot
-        self.columns[out] = column
-        return True
-
-
-def _solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, start: list[dict[int, int]]):
-    """Compositions (a row each) and how much of each the linear program uses, within ``GAP``;
-    ``start`` are compositions to begin with.
+        if total[size - 1] > best[room]:
+            best[room], last[room] = total[size - 1], place[size]
+    taken = np.maximum.accumulate(np.where(last >= 0, np.arange(capacity + 1), 0))
+    return best, last, taken
+
+
+def _compositions(
+    sizes: np.ndarray, last: np.ndarray, taken: np.ndarray, through: np.ndarray, capacity: int
+) -> np.ndarray:
+    """For each place in ``through``, how often the best composition with that size has each."""
+    found = np.zeros((len(through), len(sizes)), np.int64)
+    rows = np.arange(len(through))
+    found[rows, through] = 1
+    room = capacity - sizes[through]
+    while len(rows):
+        room = taken[room]
+        rows, room = rows[room > 0], room[room > 0]
+        found[rows, last[room]] += 1
+        room = room - sizes[last[room]]
+    return found
+
+
+def _cover(sizes, demand, capacity, start, step):
+    """One pass: how much of each composition covers ``demand``, the lower bound that its weights
+    prove, and the logarithm of their average; ``start`` is that of the first weights.
     """
-    m = len(sizes)
-    # Demands apart by less than a thousandth of a piece, so that no two rows leave at once.
-    apart = demand + np.random.default_rng(0).random(m) * 1e-3
-    basis, pull = _Basis(apart, capacity // sizes), _PULL
-    known = np.zeros((len(start), m))
-    for row, pattern in enumerate(start):
-        known[row, np.searchsorted(sizes, list(pattern))] = list(pattern.values())
-    # The weights with the best bound so far; new ones are looked for near them.
-    center = sizes / capacity
-    bound = center @ apart
-    while basis.used.sum() > (1 + GAP) * bound:
-        while len(open_ := np.flatnonzero(known @ basis.weights() > 1 + 1e-6)):
-            if not sum(basis.enter(known[row]) for row in open_):
-                break
-        point = pull * center + (1 - pull) * basis.weights()
-        worth = np.flatnonzero(point > _TINY)
-        best, last = _knapsack(sizes[worth], point[worth], capacity)
-        point = np.maximum(point, 0) / best[capacity]
-        if point @ apart > bound:
-            center, bound = point, point @ apart
-        found = np.zeros((len(worth), m))
-        for k in range(len(worth)):
-            found[k, worth] = _column(sizes[worth], last, k, capacity)
-        gain = found @ basis.weights()
-        order = np.argsort(-gain, kind="stable")
-        entered = [basis.enter(found[k]) for k in order[: (gain > 1 + _TINY).sum()]]
-        if not any(entered) and not pull:
-            break  # no composition is worth more than a sequence: this is the optimum
-        known = np.concatenate([known, found[order[: len(entered)]]])
-        pull = _PULL if any(entered) else pull / 2 if pull > 0.1 else 0.0
-    return basis.columns, np.linalg.solve(basis.columns.T, demand)
-
-
-def _rounded(
-    left: np.ndarray, capacity: int, start: list[dict[int, int]]
-) -> list[tuple[dict[int, int], int]]:
-    """Compositions with how often each is used: the linear program's solution, rounded down.
-    Takes their pieces out of ``left``.
+    covered, used = np.zeros(len(sizes)), defaultdict(float)
+    served = min(len(sizes), max(8, len(sizes) // SERVED))
+    bound, average, steps = 0.0, np.zeros(len(sizes)), 0
+    while (low := covered.min()) < 1:
+        weights = np.exp(start - RATE * (covered - low))
+        best, last, taken = _knapsack(sizes, weights, capacity)
+        weights /= best[capacity]
+        bound = max(bound, weights @ demand)
+        average, steps = average + weights, steps + 1
+        least = np.argsort(covered, kind="stable")[:served]
+        upto = covered[least] + step
+        for k, row in enumerate(_compositions(sizes, last, taken, least, capacity)):
+            gain = row / demand
+            amount = (upto[k] - covered[least[k]]) / gain[least[k]]
+            if amount > 0:  # else others through this length have covered it meanwhile
+                covered += amount * gain
+                used[row.astype(np.int16).tobytes()] += amount
+    solution = {key: amount / low for key, amount in used.items()}
+    return solution, bound, np.log(average / steps)
+
+
+def solve(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
+) -> tuple[dict, float]:
+    """Amounts of compositions (bytes of a 16-bit count per size) that cover ``demand``, and a
+    proven lower bound of what any solution needs.
+    """
+    start, step = np.log(sizes / capacity), STEP
+    bound, best = demand @ sizes / capacity, None
+    while True:
+        solution, proven, start = _cover(sizes, demand, capacity, start, step)
+        bound = max(bound, proven)
+        if best is None or sum(solution.values()) < sum(best.values()):
+            best = solution
+        step /= 2
+        if sum(best.values()) <= (1 + gap) * bound or step < LEAST_STEP:
+            return best, bound
+
+
+def _rounded(left: np.ndarray, capacity: int, gap: float) -> list[tuple[dict[int, int], int]]:
+    """Compositions with how often each is used: the solution rounded, largest amounts first, as
+    far as pieces are left. Takes them out of ``left``.
     """
     sizes = np.flatnonzero(left)
-    basis, amounts = _solve(sizes, left[sizes].astype(float), capacity, start)
-    used = []
-    for column, amount in zip(basis, np.floor(amounts + 1e-6), strict=True):
-        pattern = {int(sizes[k]): int(column[k]) for k in np.flatnonzero(column)}
-        times = min([int(amount), *(int(left[s]) // n for s, n in pattern.items())])
+    solution, _ = solve(sizes, left[sizes].astype(float), capacity, gap)
+    used, carried = [], 0.0
+    for key, amount in sorted(solution.items(), key=lambda item: (-item[1], item[0])):
+        counts = np.frombuffer(key, np.int16)
+        some = np.flatnonzero(counts)
+        carried += amount
+        whole = int(carried + 1e-9)
+        carried -= whole
+        times = min(whole, int((left[sizes[some]] // counts[some]).min()))
         if times > 0:
-            for s, n in pattern.items():
-                left[s] -= n * times
-            used.append((pattern, times))
+            left[sizes[some]] -= counts[some].astype(np.int64) * times
+            used.append((dict(zip(sizes[some].tolist(), counts[some].tolist(), strict=True)), times))
     return used
 
 
@@ -176,8 +164,25 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int
     return [(dict(composition), times) for composition, times in merged.items()]
 
 
-def _sequences(used: list[tuple[dict[int, int], int]]) -> int:
-    return sum(times for _, times in used)
+def compositions(
+    histogram: dict[int, int], capacity: int
+) -> tuple[list[tuple[dict[int, int], int]], list[tuple[dict[int, int], int]]]:
+    """Compositions and how often each is used: from the linear program, and from best fit."""
+    left = np.zeros(capacity + 1, np.int64)
+    for length, count in histogram.items():
+        left[length] = count
+    solved = []
+    if left[capacity]:
+        solved.append(({capacity: 1}, int(left[capacity])))
+        left[capacity] = 0
+    lengths, gap, more = np.arange(capacity + 1), GAP, left.any()
+    while more:
+        more = _rounded(left, capacity, gap)
+        solved += more
+        if left @ lengths <= capacity * np.count_nonzero(left):
+            break
+        gap = np.inf  # of the rest, one pass is near enough
+    return solved, _best_fit(left, capacity)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
@@ -185,21 +190,9 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     first sequence, pieces of the length per sequence, offset of the first of them. The piece of
     rank r is number (r - first rank) in its row, row by row through the sequences.
     """
-    left = np.zeros(capacity + 1, np.int64)
-    for length, count in histogram.items():
-        left[length] = count
-    used = []
-    if left[capacity]:
-        used.append(({capacity: 1}, int(left[capacity])))
-        left[capacity] = 0
-    plain = _best_fit(left, capacity)
-    if _sequences(plain) > (1 + GAP) * -(-int(left @ np.arange(capacity + 1)) // capacity):
-        solved = _rounded(left, capacity, [pattern for pattern, _ in plain])
-        solved += _best_fit(left, capacity)
-        plain = min(solved, plain, key=_sequences)
-    used += plain
+    solved, rest = compositions(histogram, capacity)
     rows, sequence, rank = [], 0, defaultdict(int)
-    for pattern, times in used:
+    for pattern, times in solved + rest:
         offset = 0
         for size in sorted(pattern, reverse=True):
             rows.append((size, rank[size], sequence, pattern[size], offset))

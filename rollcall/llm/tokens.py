@@ -8,7 +8,9 @@ new ones reach the tokenizers library. Texts that may hold a control string go t
 from __future__ import annotations
 
 import os
+from codecs import charmap_decode
 from functools import lru_cache
+from struct import Struct
 
 import numpy as np
 
@@ -16,7 +18,7 @@ import numpy as np
 REMEMBERED = 400_000
 _LONGEST = 48
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_BLANKS = str.maketrans("\n\r\t", "   ")
+_PACKED = [Struct(f"<{n}I") for n in range(65)]
 
 
 class WordEncoder:
@@ -29,38 +31,39 @@ class WordEncoder:
         self.whole.no_padding()
         self.model = self.whole.model
         self.known: dict[str, bytes] = {"": b""}
-        self.as_bytes = {
-            code: self._mapped(chr(code).encode()) for code in range(0xA0, 0x100)
-        }
+        self.visible = self._mapped(bytes(range(0x100)))
 
     @staticmethod
     def _mapped(data: bytes) -> str:
         """Bytes as the visible characters that stand for them in a byte-level vocabulary: those
         from 0xA1 on, without 0xAD, for themselves, other high bytes from U+0100 on, after 33
-        control and blank ones.
+        control and blank ones. Below 0x7F, only those of letters are asked for.
         """
         high = [b for b in range(0x7F, 0xA1)] + [0xAD]
         return "".join(chr(b) if b not in high else chr(0x100 + 33 + high.index(b)) for b in data)
 
     def _encode(self, word: str, simple: bool) -> bytes:
         if simple and word.isalpha():  # one piece of plain letters: only the merges are left
-            ids = [token.id for token in self.model.tokenize(word.translate(self.as_bytes))]
+            if not word.isascii():
+                word = charmap_decode(word.encode(), "strict", self.visible)[0]
+            ids = [token.id for token in self.model.tokenize(word)]
         else:
             ids = self.whole.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return np.array(ids, "<u4").tobytes() if len(ids) > 64 else _PACKED[len(ids)].pack(*ids)
 
     def _learn(self, word: str, simple: bool) -> bytes:
         known = self.known
         base = word.rstrip(_PUNCTUATION) if simple else word
         if base != word and base.isalpha():  # letters, then other signs: two pieces
-            parts = []
-            for part in (base, word[len(base) :]):
-                if (ids := known.get(part)) is None:
-                    ids = self._encode(part, simple)
-                    if len(part) <= _LONGEST:
-                        known[part] = ids
-                parts.append(ids)
-            return b"".join(parts)
+            end = word[len(base) :]
+            if (ids := known.get(end)) is None:
+                ids = self._learn(end, simple)
+            if (first := known.get(base)) is None:
+                return self._learn(base, simple) + ids
+            ids = first + ids  # letters met before: this form of them is likely to come again
+            if len(word) <= _LONGEST:
+                known[word] = ids
+            return ids
         ids = self._encode(word, simple)
         if len(word) <= _LONGEST:
             known[word] = ids
@@ -78,7 +81,7 @@ class WordEncoder:
             simple = False
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
-        words = text.translate(_BLANKS).split(" ") if not text.isascii() else _split(text)
+        words = text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
         found = list(map(self.known.get, words))
         if None in found:
             learn = self._learn
@@ -87,10 +90,6 @@ class WordEncoder:
         return b"".join(found)
 
 
-def _split(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-
-
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """The worker's encoder for a file; what it remembers lasts as long as the worker."""

@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from rollcall.llm import bpe, language, packing, quality
+from rollcall.llm import bpe, language, packing, packing_plan, quality
 from rollcall.llm.catalog import sites, tokenizer_path
 from rollcall.llm.common import read
 from rollcall.llm.packing_plan import locate, plan
@@ -94,7 +94,8 @@ def test_plans_place_every_piece_close_to_the_bound(seed):
     ranks = np.concatenate([np.arange(n) for n in histogram.values()])
     sequence, offset = locate(rows, of, ranks)
     used = _check_places(zip(sequence.tolist(), offset.tolist(), of.tolist(), strict=True), 64)
-    # First fit decreasing, one piece at a time, is the measure; it is near the optimum here.
+    # First fit decreasing, one piece at a time, is the measure, within a hundredth; it is near the
+    # optimum here.
     room = []
     for length in sorted(of.tolist(), reverse=True):
         k = next((k for k, r in enumerate(room) if r >= length), None)
@@ -102,7 +103,7 @@ def test_plans_place_every_piece_close_to_the_bound(seed):
             room.append(64 - length)
         else:
             room[k] -= length
-    assert used <= len(room) + 1
+    assert used <= 1.01 * len(room) + 1
     assert plan({}, 64).shape == (0, 5)
 
 
@@ -116,14 +117,72 @@ def _sequences(histogram, capacity):
 
 @pytest.mark.parametrize("n", [1, 10, 1000])
 def test_plans_of_known_optimum(n):
-    # Full sequences of 1034 + 522 + 492 and of twice 532 + 492; best fit needs more.
-    assert _sequences({1034: 6 * n, 532: 6 * n, 522: 6 * n, 492: 12 * n}, 2048) <= 9 * n + (n == 1)
+    """Within a hundredth and one sequence per length; best fit alone is 4 % to 22 % off."""
+    # Full sequences of 1034 + 522 + 492 and of twice 532 + 492; best fit needs 11 n.
+    assert 9 * n <= _sequences({1034: 6 * n, 532: 6 * n, 522: 6 * n, 492: 12 * n}, 2048) <= (
+        9.09 * n + 4
+    )
     # Three lengths over a third and one filling each up, so that nothing is left over.
     parts = [(1000, 800, 248), (900, 700, 448), (750, 650, 648), (1000, 1048)]
     cut = {}
     for length in [length for part in parts for length in part]:
         cut[length] = cut.get(length, 0) + 7 * n
-    assert 28 * n <= _sequences(cut, 2048) <= 28 * n + len(cut)
+    assert 28 * n <= _sequences(cut, 2048) <= 28.28 * n + len(cut)
+
+
+def _random_lengths(n, low, high, pieces):
+    rng = np.random.default_rng(0)
+    lengths = rng.choice(rng.choice(np.arange(low, high), n, replace=False), pieces)
+    return dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+
+
+@pytest.mark.parametrize("n", [20, 100])
+def test_the_solution_covers_and_the_bound_holds(n):
+    histogram = _random_lengths(n, 450, 1100, 20_000)
+    sizes = np.array(sorted(histogram))
+    demand = np.array([histogram[s] for s in sizes.tolist()], float)
+    solution, bound = packing_plan.solve(sizes, demand, 2048)
+    covered = np.zeros(len(sizes))
+    for key, amount in solution.items():
+        counts = np.frombuffer(key, np.int16)
+        assert counts @ sizes <= 2048
+        covered += amount * counts
+    assert (covered >= demand - 1e-6).all()
+    assert demand @ sizes / 2048 <= bound <= sum(solution.values()) <= (
+        1 + packing_plan.GAP
+    ) * bound
+    assert bound <= _sequences(histogram, 2048)
+
+
+def test_the_program_supplies_all_but_one_sequence_a_length(spark):
+    pieces = packing.cut(read(spark, "/root/testdata/sf0.01", "documents"), WORDS)
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    for lengths in (histogram, _random_lengths(300, 450, 1100, 50_000)):
+        solved, rest = packing_plan.compositions(lengths, 2048)
+        total = sum(size * times for size, times in lengths.items())
+        placed = sum(n * size * times for c, times in solved for size, n in c.items())
+        assert total - placed <= 2048 * len(lengths)
+        assert sum(times for _, times in rest) <= len(lengths)
+        assert len(solved) > 100
+    least = -(-sum(size * times for size, times in histogram.items()) // 2048)
+    assert _sequences(histogram, 2048) <= least + 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_knapsack_is_the_best_of_all_multisets(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.sort(rng.choice(np.arange(1, 30), 5, replace=False))
+    values = rng.random(5)
+    best, last, taken = packing_plan._knapsack(sizes, values, 40)
+    slow = [0.0] * 41
+    for room in range(1, 41):
+        slow[room] = max([slow[room - 1]] + [
+            v + slow[room - s] for s, v in zip(sizes.tolist(), values, strict=True) if s <= room])
+    assert np.allclose(best, slow)
+    through = np.arange(5)
+    for k, row in enumerate(packing_plan._compositions(sizes, last, taken, through, 40)):
+        assert row[k] >= 1 and row @ sizes <= 40
+        assert np.isclose(row @ values, values[k] + slow[40 - sizes[k]])
 
 
 def _pieces(rows, capacity):
