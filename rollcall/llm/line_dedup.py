@@ -1,6 +1,7 @@
 """Repeated passages removed by overlapping windows of three consecutive lines.
 
-Built-in functions only. Every window is hashed to 128 bits; windows are grouped by hash over the
+Built-in functions only. Every window is hashed to 128 bits: each line under two seeds, and the three
+hashes of a seed together; windows are grouped by hash over the
 whole table after partial aggregation, so a passage that a third of the rows share leaves each
 task as one row. Only windows that repeat are looked up again (a join whose right side has one
 row per repeated window, so that Spark can split a hot one), and what reaches the documents is
@@ -23,7 +24,7 @@ def _windows(lines: Column) -> Column:
         lines,
         lambda line: F.struct(
             F.xxhash64(line).alias("a"),
-            F.xxhash64(line, F.lit(1)).alias("b"),
+            F.xxhash64(F.lit(1), line).alias("b"),  # salt first: another seed, not a hash of "a"
             (F.trim(line) != "").alias("filled"),
         ),
     )

@@ -62,8 +62,8 @@ def write_archive(pages: DataFrame, path: str) -> None:
     stored = index.groupBy("payload_key").agg(
         F.max("page_id").alias("stored_id"),
         F.max_by("url", F.struct("page_id", "url")).alias("stored_url"),
-        F.min("sha1").alias("least"),
-        F.max("sha1").alias("most"),
+        F.min(F.struct("payload_bytes", "sha1")).alias("least"),
+        F.max(F.struct("payload_bytes", "sha1")).alias("most"),
     )
     chosen = store(
         stored.select(

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from rollcall.llm import exact_dedup, line_dedup, near_dedup
@@ -152,6 +154,25 @@ def test_line_windows_equal_brute_force(docs_of):
     assert line_dedup.remove_repeated_lines(docs_of(rows).limit(0)).collect() == []
 
 
+def test_the_two_hashes_of_a_line_are_apart(spark):
+    """The second is the line's hash under another seed, so lines that collide in the first need
+    not collide in it, as they would if it were a hash of the first.
+    """
+    lines = ["", "a", "some longer line of text, 32 bytes and more", "é"]
+    seed = xxhash.xxh64(struct.pack("<i", 1), seed=42).intdigest()
+    rows = spark.createDataFrame([("\n".join([x, "b", "c"]),) for x in lines], "text string")
+    parted = rows.select("text", line_dedup._windows(F.split("text", "\n", -1))[0].alias("w"))
+    for text, (first, second) in parted.collect():
+        wanted = []
+        for at in (42, seed):
+            whole = 42
+            for line in text.split("\n"):
+                own = xxhash.xxh64(line.encode(), seed=at).digest()[::-1]
+                whole = xxhash.xxh64(own, seed=whole).intdigest()
+            wanted.append(whole - (whole >> 63 << 64))
+        assert [first, second] == wanted
+
+
 @pytest.mark.parametrize("name", ["Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"])
 def test_line_dedup_is_native(docs_of, name):
     plan = line_dedup.remove_repeated_lines(docs_of(HARD))._jdf.queryExecution().executedPlan()
