@@ -83,11 +83,11 @@ def _cover(sizes, demand, capacity, start, step):
         least = np.argsort(covered, kind="stable")[:served]
         upto = covered[least] + step
         for k, row in enumerate(_compositions(sizes, last, taken, least, capacity)):
-            gain = row / demand
-            amount = (upto[k] - covered[least[k]]) / gain[least[k]]
+            amount = (upto[k] - covered[least[k]]) * demand[least[k]] / row[least[k]]
             if amount > 0:  # else others through this length have covered it meanwhile
-                covered += amount * gain
-                used[row.astype(np.int16).tobytes()] += amount
+                some = np.flatnonzero(row)
+                covered[some] += amount * row[some] / demand[some]
+                used[np.stack([some, row[some]]).astype(np.int16).tobytes()] += amount
     solution = {key: amount / low for key, amount in used.items()}
     return solution, bound, np.log(average / steps), steps
 
@@ -95,8 +95,8 @@ def _cover(sizes, demand, capacity, start, step):
 def solve(
     sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
 ) -> tuple[dict, float]:
-    """Amounts of compositions (bytes of a 16-bit count per size) that cover ``demand``, and a
-    proven lower bound of what any solution needs.
+    """Amounts of compositions that cover ``demand``, and a proven lower bound of what any solution
+    needs. A composition is the bytes of 16-bit places in ``sizes``, then of their counts.
     """
     start, step = np.log(sizes / capacity), STEP
     bound, best, knapsacks = demand @ sizes / capacity, None, 0
@@ -118,15 +118,14 @@ def _rounded(left: np.ndarray, capacity: int, gap: float) -> list[tuple[dict[int
     solution, _ = solve(sizes, left[sizes].astype(float), capacity, gap)
     used, carried = [], 0.0
     for key, amount in sorted(solution.items(), key=lambda item: (-item[1], item[0])):
-        counts = np.frombuffer(key, np.int16)
-        some = np.flatnonzero(counts)
+        some, counts = np.frombuffer(key, np.int16).reshape(2, -1)
         carried += amount
         whole = int(carried + 1e-9)
         carried -= whole
-        times = min(whole, int((left[sizes[some]] // counts[some]).min()))
+        times = min(whole, int((left[sizes[some]] // counts).min()))
         if times > 0:
-            left[sizes[some]] -= counts[some].astype(np.int64) * times
-            used.append((dict(zip(sizes[some].tolist(), counts[some].tolist(), strict=True)), times))
+            left[sizes[some]] -= counts.astype(np.int64) * times
+            used.append((dict(zip(sizes[some].tolist(), counts.tolist(), strict=True)), times))
     return used
 
 

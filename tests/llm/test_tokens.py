@@ -144,9 +144,9 @@ def test_the_solution_covers_and_the_bound_holds(n):
     solution, bound = packing_plan.solve(sizes, demand, 2048)
     covered = np.zeros(len(sizes))
     for key, amount in solution.items():
-        counts = np.frombuffer(key, np.int16)
-        assert counts @ sizes <= 2048
-        covered += amount * counts
+        some, counts = np.frombuffer(key, np.int16).reshape(2, -1)
+        assert counts @ sizes[some] <= 2048
+        covered[some] += amount * counts
     assert (covered >= demand - 1e-6).all()
     assert demand @ sizes / 2048 <= bound <= sum(solution.values()) <= 1.1 * bound
     assert bound <= _sequences(histogram, 2048)
