@@ -11,7 +11,8 @@ it are toxic far more often than all labelled documents, by a likelihood ratio t
 do not pass; its weight is the difference of the log odds, shrunk toward 0. Weak words have none, as
 many of them in a long text or a group of copies would add up to what none of them says, and no word
 speaks against toxicity. A document's score is the logistic of the share of toxic documents and the
-weights of its distinct words. Words of one text and its copies are no independent witnesses: a word
+weights of its distinct words; without any, it is the share of toxic ones among labelled documents
+without any. Words of one text and its copies are no independent witnesses: a word
 counts only if the toxic documents that hold it differ in the strongest other such word they hold.
 Texts are read once for the model and once for their words, in tasks;
 what follows are grouped counts and a join of small rows.
@@ -389,10 +390,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels`` (``doc_id``, ``toxic``) of documents that are not held out are learned from; values
     other than 0 and 1 say nothing, and a document labelled more than once is toxic if any label
-    says so. NULL, empty texts and texts without known words have the score of the share of toxic
-    documents (a tenth without labels). Rows of equal ``doc_id`` are judged each by its own text;
-    a NULL ``doc_id`` has no label. Whole texts count, of any length; a token is decoded as a whole.
-    No rows give no rows; other columns are not read.
+    says so. NULL, empty texts and texts without a word that counts have the share of toxic
+    documents among labelled ones without any (a tenth without labels). Rows of equal ``doc_id`` are
+    judged each by its own text; a NULL ``doc_id`` has no label. Whole texts count, of any length;
+    a token is decoded as a whole. No rows give no rows; other columns are not read.
 
     Words are told apart by 32 bits of a hash: a document meets the weight of another word with a
     probability of its distinct words times the weighted ones in 2^32.
@@ -410,17 +411,23 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     # Merged at any size: labels grow with the documents.
     marked = read.join(known.hint("merge"), "doc_id").select("row", "words", "toxic")
-    evidence, prior = _evidence(store(marked, "toxic_marked"))
+    marked = store(marked, "toxic_marked")
+    evidence, prior = _evidence(marked)
     found = (
         read.select("row", F.explode("words").alias("word"))
         .join(_small(evidence), "word")
         .groupBy("row")
         .agg(F.sum("evidence").alias("evidence"))
     )
-    score = 1 / (1 + F.exp(-(F.coalesce("evidence", F.lit(0.0)) + F.lit(prior))))
+    found = store(found, "toxic_found")
+    plain = marked.select("row", "toxic").join(found, "row", "left_anti")
+    toxic, labelled = plain.agg(F.sum("toxic"), F.count("*")).first()
+    score = F.coalesce(
+        1 / (1 + F.exp(-(F.col("evidence") + prior))), F.lit(((toxic or 0) + 0.1) / (labelled + 1))
+    )
     return (
         read.select("row", "doc_id")
-        .join(store(found, "toxic_found"), "row", "left")
+        .join(found, "row", "left")
         .select("doc_id", held_out().alias("held_out"), score.alias("score"),
                 (score >= TOXIC_FROM).cast("int").alias("predicted"))
     )

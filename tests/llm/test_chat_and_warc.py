@@ -48,6 +48,14 @@ def test_conversations_come_back_from_the_format(spark):
     assert not any(name in plan for name in ("Python", "Pandas", "Arrow"))
 
 
+def test_a_long_conversation_and_a_long_text(spark):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k} <|im_end|>") for k in range(300)]
+    rows += [(2, 0, "user", "é<|" * 50_000), (2, 1, "assistant", "\\n<|im_start|>" * 20_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {tuple(r)[:5] for r in chat_format.digest(chat_format.expand(df.repartition(4))).collect()}
+    assert got == _expected(rows)
+
+
 def test_each_assistant_turn_is_an_example_with_what_precedes_it(spark):
     turns = [(7, 0, "user", "u"), (7, 1, "assistant", "A<|b"), (7, 2, "user", "v")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")

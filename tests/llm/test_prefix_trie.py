@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import prefix_trie
@@ -89,30 +90,26 @@ def test_query_equals_brute_force(spark):
 
 
 def test_colliding_fingerprints_are_seen_and_drawn_anew(spark, monkeypatch):
-    real = prefix_trie._maps
+    original, salts = prefix_trie._stretches, []
 
-    def weak(digests, salt):
-        a, b = real(digests, salt)
-        if salt == 1:
-            return np.ones_like(a), b % np.uint64(2)
-        return a, b
-
-    def strands(salt):
-        return lambda batches: _with(weak, salt, batches)
-
-    original = prefix_trie._stretches
-    salts = []
+    def colliding(salt):
+        """With the first salt, all turns of a place have the same products."""
+        salts.append(salt)
+        inner, n = original(salt), len(prefix_trie._LANES)
 
-    def _with(maps, salt, batches):
-        prefix_trie._maps = maps
-        yield from original(salt)(batches)
+        def read(batches):
+            for batch in inner(batches):
+                place = batch.column("place").to_numpy()
+                columns = list(batch.columns)
+                if salt == 1:
+                    for k in range(2 * n):
+                        columns[-2 * n + k] = pa.array((1 << 31) + place - (k >= n))
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    def counted(salt):
-        salts.append(salt)
-        return strands(salt)
+        return read
 
-    monkeypatch.setattr(prefix_trie, "_stretches", counted)
-    rows = [(c, t, "user", f"{c % 3} {t} {c % 2}") for c in range(12) for t in range(3)]
+    monkeypatch.setattr(prefix_trie, "_stretches", colliding)
+    rows = [(c, t, "user", f"{c % 4} {t} {c % 2}") for c in range(12) for t in range(3)]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA)
     assert nodes_of(prefix_trie.trie(df)) == slow_trie(rows)
     assert salts == [1, 2]

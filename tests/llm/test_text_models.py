@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -48,6 +49,68 @@ def test_held_out_texts_are_recognised(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def _slow_vector(text):
+    codes = [0, *(ord(c) if c.isalpha() else 0 for c in (text or "").lower()), 0]
+    found = np.zeros(language.DIMENSIONS)
+    for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+        if b:
+            va, vb, vc = language._random_vectors(np.array([a, b, c])).astype(int)
+            found += np.roll(va, 2) * np.roll(vb, 1) * vc
+    return found
+
+
+def test_predictions_equal_plain_python(spark):
+    """Prototypes, cosines and choice of every text, and which texts the pipeline's stage keeps."""
+    rng = random.Random(13)
+    syllables = {"en": "the ing and er", "fr": "le eau ou tion", "de": "sch ein ung ä"}
+    rows = []
+    for i in range(90):
+        lang = rng.choice(list(syllables))
+        words = ["".join(rng.choices(syllables[lang].split(), k=rng.randint(1, 3)))
+                 for _ in range(rng.randint(1, 20))]
+        rows.append((i, " ".join(words), rng.choice([lang, lang, None])))
+    rows += [(100, None, "en"), (101, "12 !!", "fr"), (102, "日本語", None), (None, "the and", "en"),
+             (103, "z" * 400, None), (103, "z" * 400, None)]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    docs = spark.createDataFrame(
+        [(*row, "s") for row in rows], "doc_id long, text string, lang string, found string"
+    ).repartition(4)
+
+    def prototypes(taught):
+        sums = {}
+        for _, text, lang in taught:
+            vector = _slow_vector(text)
+            size = np.linalg.norm(vector)
+            if lang is not None:
+                sums[lang] = sums.get(lang, 0) + (vector / size if size else vector)
+        return sums
+
+    def judged(text, sums):
+        vector = _slow_vector(text)
+        if not vector.any():
+            return "und", 0.0
+        cosine = {
+            lang: float(vector @ p / np.linalg.norm(vector) / np.linalg.norm(p))
+            for lang, p in sums.items() if np.linalg.norm(p)
+        }
+        best = max(sorted(cosine), key=cosine.get)
+        return best, min(max(cosine[best], 0), 1)
+
+    model = prototypes([r for r in rows if not held[r[0]]])
+    want = sorted((repr(i), held[i], *judged(t, model)) for i, t, _ in rows)
+    got = sorted((repr(r[0]), *r[1:]) for r in language.identify(docs).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=1e-4)
+    model, least = prototypes(rows), 0.3
+    kept = Counter()
+    for i, text, _ in rows:
+        lang, score = judged(text, model)
+        letters = sum(c.isalpha() for c in text or "")
+        kept[i] += lang != "und" and (score >= least or letters < language.SHORT)
+    found = Counter(r["doc_id"] for r in language.keep_known(docs, least).collect())
+    assert found == +kept and 0 < len(found) < len(rows)
+
+
 def test_hard_texts_have_a_language_or_none(docs_of):
     docs = docs_of(HARD)
     got = language.identify(docs)
@@ -122,6 +185,54 @@ def test_edits_and_neighbours(docs_of, rows):
     )
 
 
+def test_samples_equal_plain_python():
+    """Consistent weighted sampling term by term and slot by slot, in double precision."""
+    from rollcall.llm.common import mix
+    from rollcall.llm.shingles import word_hashes
+
+    mask = 2**64 - 1
+
+    def mixed(x):
+        return int(mix(np.array([x & mask], np.uint64))[0])
+
+    def hashed(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(word_hashes(data, np.array([0, len(data)]))[0][0])
+
+    def sampled(text):
+        words = [hashed(w) for w in text.split()]
+        terms = Counter({w: 0.2 * n for w, n in Counter(words).items()})
+        for k in range(len(words) - fingerprint.RUN + 1):
+            run = 1
+            for word in words[k : k + fingerprint.RUN]:
+                run = (run * int(fingerprint._STEP) + mixed(word)) & mask
+            terms[mixed(run)] += 1.0
+        found = []
+        for slot in range(fingerprint.SLOTS):
+            best = None
+            for term, weight in terms.items():
+                one = mixed(term ^ mixed(slot + (1 << 32)))
+                two = mixed(term ^ mixed(slot + (2 << 32)))
+                r, c = (
+                    -math.log(((x >> 40) + 0.5) / 2**24 * (((x >> 16) & 0xFFFFFF) + 0.5) / 2**24)
+                    for x in (one, two)
+                )
+                b = ((one & 0xFFFF) + 0.5) / 2**16
+                t = math.floor(math.log(weight) / r + b)
+                score = math.log(c) - r * (t - b + 1)
+                if best is None or score < best[0]:
+                    best = score, term, t
+            found.append(mixed(best[1] ^ mixed(best[2])) % fingerprint.EMPTY)
+        return found
+
+    rng = random.Random(2)
+    texts = ["one", "a b c d", "a b c d e", "x x x x x x x"]
+    texts += [" ".join(rng.choices("abcdefghijk", k=rng.randint(5, 40))) for _ in range(6)]
+    got = fingerprint.fingerprints(*text_buffers(pa.array(texts)))
+    same = [np.mean(np.array(sampled(text)) == row) for text, row in zip(texts, got, strict=True)]
+    assert min(same) >= 0.95 and np.mean(same) >= 0.99  # single precision may round to another
+
+
 def test_no_rows_have_no_fingerprints(docs_of):
     assert fingerprint.compare_with_edits(docs_of(HARD).limit(0)).collect() == []
 
