@@ -21,22 +21,35 @@ ORACLE_SQL = None
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that ``quality.classify`` gives a score of one half or more, all columns; NULL and
+    very long texts are judged like others, repeated rows each. Without labels all stay.
+    """
     return quality.keep_good(docs, read(spark, sf_dir, "labels"), **catalog.sites())
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that ``docs`` teaches: neither without letters (NULL and empty texts
+    go) nor, from 32 letters on, below the least score. Repeated rows are judged each.
+    """
     return language.keep_known(docs, LEAST_LANGUAGE_SCORE)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal after lower-casing A-Z, the row with the largest ``doc_id``; NULL is empty."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates, the document with the smallest ``doc_id``; texts
+    without words and rows without ``doc_id`` stay. Whole texts are compared, of any length.
+    """
     return near_dedup.drop_near_duplicates(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All pieces of all documents with sequence and offset; longer documents are cut into pieces
+    of 2,048 tokens, NULL is a piece of one token, repeated rows are packed each.
+    """
     return packing.pack_documents(docs, catalog.tokenizer_path("word_bpe_49k.json"))
 
 
