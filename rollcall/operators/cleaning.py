@@ -128,11 +128,14 @@ def save_cleaned(
     cleaned = clean_nulls(df.observe(before, *nulls), suppressed).observe(after, *nulls)
     save(cleaned, path, file_format, mode)
     found = [
-        (name, before.get[f"c{i}"], after.get[f"c{i}"]) for i, name in enumerate(df.columns)
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(before.get[f"c{i}"]).cast("long").alias("null_count"),
+            F.lit(after.get[f"c{i}"]).cast("long").alias("remaining_nulls"),
+        )
+        for i, name in enumerate(df.columns)
     ]
-    return df.sparkSession.createDataFrame(
-        found, "column_name string, null_count long, remaining_nulls long"
-    )
+    return to_rows(df.sparkSession.range(1), found)
 
 
 def suppressed_sum(df: DataFrame, name: str) -> DataFrame:
