@@ -40,6 +40,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """The same rows in as many partitions as the executors' cores take up in four waves, or fewer:
+    small results of many partitions are written to as many files otherwise, which costs more than
+    the work. Partitions are joined without a shuffle and computed one after the other, so a task
+    needs no more memory. Left alone where the number of executors is not fixed.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return df
+    return df.coalesce(4 * spark.sparkContext.defaultParallelism)
+
+
 #: Most rows of an Arrow batch.
 BATCH_ROWS = 1000
 

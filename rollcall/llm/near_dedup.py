@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import blocks, session_of, text_buffers
+from rollcall.llm.common import blocks, in_few_files, session_of, text_buffers
 from rollcall.llm.components import components
 from rollcall.llm.shingles import band_hashes, set_keys, shingle_sets, super_minhash
 from rollcall.sources import store
@@ -51,6 +51,11 @@ def _rows_per_batch(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def _store_small(df: DataFrame, label: str) -> DataFrame:
+    """Ids and hashes; texts, sets and what is computed in Python keep their partitions."""
+    return store(in_few_files(df), label)
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values, pa.int64())
 
@@ -237,7 +242,7 @@ def _open_links(crowded: DataFrame, joined: DataFrame, texts: DataFrame) -> Data
             ).cast("int").alias("n_blocks"),
         )
     )
-    open_ = store(rest.join(store(shape, "near_shapes"), "bucket"), "near_open")
+    open_ = _store_small(rest.join(_store_small(shape, "near_shapes"), "bucket"), "near_open")
     used = open_.select(F.col("id").alias("doc_id")).distinct()
     sets = (
         texts.join(used.hint("merge"), "doc_id", "left_semi")
@@ -299,9 +304,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     key = ["n_shingles", "key_1", "key_2"]
     some = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     # Stored, so that the join has an exchange of its own, which Spark can split at a hot class.
-    classes = store(some.groupBy(*key).agg(F.min("doc_id").alias("id")), "near_classes")
+    classes = _store_small(some.groupBy(*key).agg(F.min("doc_id").alias("id")), "near_classes")
     first = F.col("doc_id") == F.col("id")
-    members = store(
+    members = _store_small(
         some.join(classes, key).select(
             "doc_id", "id", "n_shingles", F.when(first, F.col("bands")).alias("bands"),
         ),
@@ -311,9 +316,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "id", "n_shingles", F.explode("bands").alias("bucket")
     )
     hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-    hubs = store(hubs.filter("hub <> last").drop("last"), "near_hubs")
-    crowded = store(banded.join(hubs, "bucket").distinct(), "near_buckets")
-    pairs = store(crowded.filter("id <> hub").select("hub", "id").distinct(), "near_pairs")
+    hubs = _store_small(hubs.filter("hub <> last").drop("last"), "near_hubs")
+    crowded = _store_small(banded.join(hubs, "bucket").distinct(), "near_buckets")
+    pairs = _store_small(crowded.filter("id <> hub").select("hub", "id").distinct(), "near_pairs")
     used = pairs.select(F.explode(F.array("hub", "id")).alias("doc_id")).distinct()
     # Merged at any size: the ids of candidates grow with the documents.
     texts = store(rows.join(used.hint("merge"), "doc_id", "left_semi"), "near_texts")
@@ -322,11 +327,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter(_linked())
         .select(F.col("hub").alias("a"), F.col("id").alias("b"))
     )
-    joined = store(components(links), "near_joined")
+    joined = _store_small(components(links), "near_joined")
     more = _open_links(crowded, joined, texts)
     final = components(links.unionByName(more))
     ids = members.select("doc_id", "id").distinct()
-    placed = store(
+    placed = _store_small(
         ids.join(final.withColumnRenamed("node", "id"), "id", "left").select(
             F.col("doc_id").alias("member"), F.coalesce("component", "id").alias("component")
         ).groupBy("member").agg(F.min("component").alias("component")),

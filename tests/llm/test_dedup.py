@@ -113,6 +113,35 @@ def test_a_large_group_of_loose_copies_is_whole(docs_of, monkeypatch):
     assert joined[1] <= 2.2 * joined[0] and joined[2] <= 2.2 * joined[1], joined
 
 
+def test_components_of_many_partitions_are_few_small_files(spark, monkeypatch):
+    """Writing costs by the file: no file per shuffle partition, and no round after the stars."""
+    from rollcall.llm import components as module
+
+    stored = []
+
+    def counted(df, label, keep=module.store):
+        stored.append(keep(df, label))
+        return stored[-1]
+
+    monkeypatch.setattr(module, "store", counted)
+    settings = {
+        "spark.sql.shuffle.partitions": "211",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        links = spark.range(1, 4000).selectExpr("id AS a", "id % 7 AS b")
+        got = {r["node"]: r["component"] for r in components(links).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == {n: n % 7 for n in range(4000)}
+    assert len(stored) == 2
+    assert max(len(df.inputFiles()) for df in stored) <= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, k) for k in range(200, 260)]
     edges += [(300, 301), (301, 302), (302, 300), (5, 5), (260, 7)]
