@@ -70,7 +70,7 @@ def lower_ascii(text: Column) -> Column:
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (a bijection), without the input being changed."""
     with np.errstate(over="ignore"):
-        z = values.astype(np.uint64) + _GOLDEN
+        z = values.astype(np.uint64, copy=False) + _GOLDEN
         z ^= z >> np.uint64(30)
         z *= _MIX_1
         z ^= z >> np.uint64(27)

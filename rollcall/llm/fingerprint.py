@@ -34,20 +34,45 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [mix(np.arange(SLOTS, dtype=np.uint64) + np.uint64(k << 32)) for k in (1, 2)]
 
 
-def _unit(bits: np.ndarray) -> np.ndarray:
-    """24 bits as a number strictly between 0 and 1."""
-    return (bits.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
+def _unit(bits: np.ndarray, digits: int) -> np.ndarray:
+    """So many bits, 24 at most, as a number strictly between 0 and 1."""
+    # Signed 32-bit integers are converted several at a time, unsigned 64-bit ones are not.
+    unit = bits.astype(np.uint32).view(np.int32).astype(np.float32)
+    unit += np.float32(0.5)
+    unit *= np.float32(2.0**-digits)
+    return unit
+
+
+def _gamma(bits: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) from the upper 48 bits."""
+    found = _unit(bits >> np.uint64(40), 24)
+    found *= _unit(bits >> np.uint64(16) & np.uint64(0xFFFFFF), 24)
+    np.log(found, out=found)
+    return np.negative(found, out=found)
 
 
 def _drawn(terms: np.ndarray, slots: int | slice | np.ndarray, log_weight: np.ndarray):
     """ln c - r (t - b + 1) and t for terms and slots."""
-    low = np.uint64(0xFFFFFF)
-    one, two = mix(terms ^ _SALTS[0][slots]), mix(terms ^ _SALTS[1][slots])
-    r = -np.log(_unit(one >> np.uint64(40)) * _unit(one >> np.uint64(16) & low))
-    c = -np.log(_unit(two >> np.uint64(40)) * _unit(two >> np.uint64(16) & low))
-    b = ((one & np.uint64(0xFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-16)
-    t = np.floor(log_weight / r + b)
-    return np.log(c) - r * (t - b + 1), t
+    one = mix(terms ^ _SALTS[0][slots])
+    r, b = _gamma(one), _unit(one & np.uint64(0xFFFF), 16)
+    c = _gamma(mix(terms ^ _SALTS[1][slots]))
+    t = log_weight / r
+    t += b
+    np.floor(t, out=t)
+    np.subtract(t, b, out=b)
+    b += np.float32(1)
+    b *= r
+    np.log(c, out=c)
+    c -= b
+    return c, t
+
+
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of at least one, ascending, and how often each occurs."""
+    ordered = np.sort(hashes)
+    new = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+    starts = np.concatenate([[0], new, [len(ordered)]])
+    return ordered[starts[:-1]], np.diff(starts)
 
 
 def weighted_terms(data: np.ndarray, starts: np.ndarray):
@@ -63,7 +88,7 @@ def weighted_terms(data: np.ndarray, starts: np.ndarray):
         size = 0
         for hashes, unit in ((words[begin:end], WORD_WEIGHT), (runs[begin : end - RUN + 1], 1.0)):
             if end - begin >= (RUN if unit == 1.0 else 1):
-                distinct, counts = np.unique(hashes, return_counts=True)
+                distinct, counts = _counted(hashes)
                 terms.append(distinct)
                 weights.append(counts * np.float32(unit))
                 size += len(distinct)
@@ -92,7 +117,7 @@ def fingerprints(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     chosen = np.empty((len(some), SLOTS), np.int64)
     for k, row in enumerate(some):
         mine = inverse[ends[row] : ends[row + 1]]
-        chosen[k] = mine[score[mine].argmin(axis=0)]
+        chosen[k] = mine[score.take(mine, axis=0).argmin(axis=0)]
     _, t = _drawn(own[chosen], np.arange(SLOTS), log_weight[chosen])
     kept = mix(own[chosen] ^ mix(t.astype(np.int64).view(np.uint64)))
     found[some] = (kept % np.uint64(EMPTY)).astype(np.uint16)
