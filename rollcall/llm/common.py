@@ -79,6 +79,15 @@ def mix(values: np.ndarray) -> np.ndarray:
     return z
 
 
+def mix_upper(values: np.ndarray, spare: np.ndarray) -> None:
+    """``mix`` in place, but for its last step, which leaves the upper 31 bits as they are."""
+    values += _GOLDEN
+    values ^= np.right_shift(values, np.uint64(30), out=spare)
+    values *= _MIX_1
+    values ^= np.right_shift(values, np.uint64(27), out=spare)
+    values *= _MIX_2
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows in a row, and where each row starts (one entry more than rows);
     NULL counts as empty.

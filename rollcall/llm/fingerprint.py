@@ -8,7 +8,11 @@ texts agree in a slot with a probability equal to their generalised Jaccard simi
 the smaller weights over the sum of the larger. A fingerprint is 64 slots of 16 bits, as 256
 hexadecimal digits.
 
-Terms that occur in several texts of a block with the same weight draw once.
+Few terms can give a slot. The least value among terms of total weight W is the logarithm of an
+exponential variable of rate W, and a term's value is at least ln c - r - ln w. Terms whose bound is
+over that of ``LIKELY`` / W are passed by after the draws' upper bits alone, once for all texts of
+a block; the others are drawn in full. Where none of them is below ``LIKELY`` / W (a slot in some
+150), all terms of the text are drawn, so the result is that of drawing every term.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import mix, session_of, text_buffers
+from rollcall.llm.common import BATCH_ROWS, blocks, mix, mix_upper, session_of, text_buffers
 from rollcall.llm.shingles import word_hashes
 
 SLOTS = 64
@@ -29,7 +33,12 @@ RUN = 5
 WORD_WEIGHT = 0.2
 #: What a text without words has in every slot.
 EMPTY = 0xFFFF
+#: A slot's term is sought below this, over the weight of all terms; e ** -5 are not found there.
+LIKELY = 5.0
 _BLOCK = 1 << 18
+#: Terms whose draws are bounded at once (buffers of 256 KB), terms whose likely ones are kept at
+#: once, and values offered to texts at once.
+_CHUNK, _PIECE, _OFFERED = 512, 1 << 15, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [mix(np.arange(SLOTS, dtype=np.uint64) + np.uint64(k << 32)) for k in (1, 2)]
 
@@ -47,6 +56,8 @@ def _gamma(bits: np.ndarray) -> np.ndarray:
     """Gamma(2, 1) from the upper 48 bits."""
     found = _unit(bits >> np.uint64(40), 24)
     found *= _unit(bits >> np.uint64(16) & np.uint64(0xFFFFFF), 24)
+    # Both may have been rounded to 1, which has no second logarithm.
+    np.minimum(found, np.float32(1 - 2.0**-24), out=found)
     np.log(found, out=found)
     return np.negative(found, out=found)
 
@@ -67,59 +78,160 @@ def _drawn(terms: np.ndarray, slots: int | slice | np.ndarray, log_weight: np.nd
     return c, t
 
 
-def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of at least one, ascending, and how often each occurs."""
-    ordered = np.sort(hashes)
-    new = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-    starts = np.concatenate([[0], new, [len(ordered)]])
-    return ordered[starts[:-1]], np.diff(starts)
+class _Bounds:
+    """Bounds from below for ``exp`` of the values of ``_drawn``, times the weight."""
+
+    def __init__(self) -> None:
+        shape = (SLOTS, _CHUNK)
+        self._wide = [np.empty(shape, np.uint64) for _ in range(2)]
+        self._bits = [np.empty(shape, np.uint32) for _ in range(2)]
+        self._parts = [np.empty(shape, np.float32) for _ in range(3)]
+
+    def _product(self, terms: np.ndarray, salts: np.ndarray, more: int, out: np.ndarray) -> None:
+        """2 ** 32 times the two units of ``_gamma``, of the second only its upper 7 bits, with
+        ``more`` added to these times 2.
+        """
+        mixed, spare = (x[:, : len(terms)] for x in self._wide)
+        high, bits = (x[:, : len(terms)] for x in self._bits)
+        np.bitwise_xor(terms, salts[:, None], out=mixed)
+        mix_upper(mixed, spare)
+        np.copyto(high, mixed.view(np.uint32)[:, 1::2])
+        np.right_shift(high, np.uint32(8), out=bits)
+        np.copyto(out, bits.view(np.int32))
+        high &= np.uint32(0xFE)
+        if more:
+            high += np.uint32(more)
+        part = self._parts[2][:, : len(terms)]
+        np.copyto(part, high.view(np.int32))
+        out *= part
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        """2 ** 64 times exp(-r) (1 - exp(-c)) or less, by slot and term: c is larger than that."""
+        least, most = (x[:, : len(terms)] for x in self._parts[:2])
+        self._product(terms, _SALTS[0], 0, least)
+        self._product(terms, _SALTS[1], 2, most)
+        # Less by more than what the first unit's lower bound and the rounding leave out.
+        np.subtract(np.float32(2.0**32 - 2.0**11), most, out=most)
+        least *= most
+        return least
+
+
+def _likely(terms: np.ndarray, limit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of terms and slots whose bound is within the term's limit."""
+    bounds = _Bounds()
+    for first in range(0, len(terms), _PIECE):
+        places, slots = [], []
+        for start in range(first, min(first + _PIECE, len(terms)), _CHUNK):
+            part = slice(start, start + _CHUNK)
+            within = bounds.of(terms[part]) <= limit[part]
+            slot, place = np.divmod(np.flatnonzero(within), within.shape[1])
+            places.append(place + start)
+            slots.append(slot)
+        yield np.concatenate(places), np.concatenate(slots)
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many numbers from each start on."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _counted(hashes: np.ndarray, starts: np.ndarray):
+    """The distinct values of each row, ascending, how often each occurs, and where each row's
+    start.
+    """
+    ordered = hashes.copy()
+    for begin, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        ordered[begin:end].sort()
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    new[starts[:-1][starts[:-1] < len(ordered)]] = True
+    first = np.flatnonzero(new)
+    return ordered[first], np.diff(first, append=len(ordered)), np.searchsorted(first, starts)
 
 
 def weighted_terms(data: np.ndarray, starts: np.ndarray):
     """Hashes and weights of the distinct terms of each row, and where each row's terms start."""
     words, at = word_hashes(data, starts)
+    many = max(len(words) - RUN + 1, 0)
     with np.errstate(over="ignore"):
-        runs = np.full(max(len(words) - RUN + 1, 0), np.uint64(1))
+        runs = np.full(many, np.uint64(1))
+        mixed = mix(words)
         for k in range(RUN):
-            runs = runs * _STEP + mix(words[k : len(words) - RUN + 1 + k])
+            runs *= _STEP
+            runs += mixed[k : many + k]
         runs = mix(runs)
-    terms, weights, sizes = [], [], []
-    for begin, end in zip(at[:-1], at[1:], strict=True):
-        size = 0
-        for hashes, unit in ((words[begin:end], WORD_WEIGHT), (runs[begin : end - RUN + 1], 1.0)):
-            if end - begin >= (RUN if unit == 1.0 else 1):
-                distinct, counts = _counted(hashes)
-                terms.append(distinct)
-                weights.append(counts * np.float32(unit))
-                size += len(distinct)
-        sizes.append(size)
-    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    if not terms:
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32), ends
-    return np.concatenate(terms), np.concatenate(weights).astype(np.float32), ends
+    counts = np.diff(at)
+    inside = np.arange(many) + RUN <= np.repeat(at[1:], counts)[:many]
+    runs_at = np.concatenate([[0], np.cumsum(np.maximum(counts - RUN + 1, 0))])
+    kinds = (_counted(words, at), WORD_WEIGHT), (_counted(runs[inside], runs_at), 1.0)
+    ends = sum(of_rows for (_, _, of_rows), _ in kinds)
+    terms, weights = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.float32)
+    begin = ends[:-1]
+    for (distinct, often, of_rows), unit in kinds:
+        sizes = np.diff(of_rows)
+        places = _spread(begin, sizes)
+        terms[places] = distinct
+        weights[places] = often * np.float32(unit)
+        begin = begin + sizes
+    return terms, weights, ends
 
 
 def fingerprints(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """One row of SLOTS 16-bit values per text."""
     terms, weights, ends = weighted_terms(data, starts)
     found = np.full((len(starts) - 1, SLOTS), EMPTY, np.uint16)
-    if not len(terms):
+    some = np.flatnonzero(np.diff(ends))
+    if not len(some):
         return found
+    begin, sizes = ends[some], np.diff(ends)[some]
+    row = np.repeat(np.arange(len(some)), sizes)
+    log_weight = np.log(weights)
+    sought = LIKELY / np.add.reduceat(weights, begin, dtype=np.float64)
+
     # A term and its weight together: equal pairs draw alike.
     pair = mix(terms ^ mix(weights.view(np.uint32).astype(np.uint64)))
-    _, where, inverse = np.unique(pair, return_index=True, return_inverse=True)
-    own, log_weight = terms[where], np.log(weights[where])
-    score = np.empty((len(own), SLOTS), np.float32)
-    for start in range(0, len(own), 2048):
-        part = slice(start, start + 2048)
-        score[part], _ = _drawn(own[part, None], slice(None), log_weight[part, None])
-    some = np.flatnonzero(np.diff(ends))
-    chosen = np.empty((len(some), SLOTS), np.int64)
-    for k, row in enumerate(some):
-        mine = inverse[ends[row] : ends[row + 1]]
-        chosen[k] = mine[score.take(mine, axis=0).argmin(axis=0)]
-    _, t = _drawn(own[chosen], np.arange(SLOTS), log_weight[chosen])
-    kept = mix(own[chosen] ^ mix(t.astype(np.int64).view(np.uint64)))
+    order = np.argsort(pair)
+    pair = pair[order]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    counts = np.diff(first, append=len(pair))
+    widest = np.maximum.reduceat(sought[row[order]], first)
+    own, own_weight = terms[order[first]], weights[order[first]]
+    # More by a thousandth, over any rounding.
+    limit = (widest * own_weight * (1.001 * 2.0**64)).astype(np.float32)
+    log_own, highest = np.log(own_weight), np.log(widest).astype(np.float32)
+
+    best = np.full(len(some) * SLOTS, np.inf, np.float32)
+    chosen = np.empty(len(best), np.int64)
+
+    def offer(key: np.ndarray, score: np.ndarray, at: np.ndarray) -> None:
+        """Terms for texts' slots: the least value stays, of equal ones the first term."""
+        before = best.copy()
+        np.minimum.at(best, key, score)
+        chosen[best < before] = len(terms)
+        least = score == best[key]
+        np.minimum.at(chosen, key[least], at[least])
+
+    for place, slot in _likely(own, limit):
+        score, _ = _drawn(own[place], slot, log_own[place])
+        low = np.flatnonzero(score <= highest[place])
+        many = counts[place[low]]
+        for start, end in blocks(np.concatenate([[0], np.cumsum(many)]), _OFFERED):
+            these, n = low[start:end], many[start:end]
+            at = order[_spread(first[place[these]], n)]
+            key = row[at] * SLOTS + np.repeat(slot[these], n)
+            offer(key, np.repeat(score[these], n), at)
+    unsettled = np.flatnonzero(best >= np.repeat(np.log(sought).astype(np.float32), SLOTS))
+    text = unsettled // SLOTS
+    for start, end in blocks(np.concatenate([[0], np.cumsum(sizes[text])]), _OFFERED):
+        mine = text[start:end]
+        key = np.repeat(unsettled[start:end], sizes[mine])
+        at = _spread(begin[mine], sizes[mine])
+        offer(key, _drawn(terms[at], key % SLOTS, log_weight[at])[0], at)
+
+    chosen = chosen.reshape(-1, SLOTS)
+    _, t = _drawn(terms[chosen], np.arange(SLOTS), log_weight[chosen])
+    kept = mix(terms[chosen] ^ mix(t.astype(np.int64).view(np.uint64)))
     found[some] = (kept % np.uint64(EMPTY)).astype(np.uint16)
     return found
 
@@ -202,7 +314,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts.append(text or "")
             size += len(texts[-1])
             closed = halo
-            if len(texts) > 1 and (halo or size > _BLOCK):
+            if len(texts) > 1 and (halo or size > _BLOCK or len(texts) > BATCH_ROWS):
                 yield emit(ids, texts)
                 ids, texts = ids[-1:], texts[-1:]
                 size = len(texts[0])

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +234,43 @@ def test_samples_equal_plain_python():
     assert min(same) >= 0.95 and np.mean(same) >= 0.99  # single precision may round to another
 
 
+@pytest.mark.parametrize("likely", [None, 0.05, 50.0])
+def test_few_terms_are_drawn_in_full_and_none_is_missed(monkeypatch, likely):
+    """Slots are those of drawing every term of a text, whether or not likely terms settle them."""
+    from rollcall.llm.common import mix
+
+    texts = pq.read_table(f"{DATA}/documents.parquet", columns=["text"])["text"][:80].to_pylist()
+    texts += [None, " ", "one", "a b c d", "a b c d e", "x " * 3000, "é" * 70, texts[0], texts[1]]
+    data, starts = text_buffers(pa.array(texts, pa.large_string()))
+    terms, weights, ends = fingerprint.weighted_terms(data, starts)
+    log_weight, slots = np.log(weights), np.arange(fingerprint.SLOTS)
+    expected = np.full((len(texts), fingerprint.SLOTS), fingerprint.EMPTY, np.uint16)
+    for k, (begin, end) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        if end > begin:
+            mine, w = terms[begin:end, None], log_weight[begin:end, None]
+            score, t = fingerprint._drawn(mine, slots[None, :], w)
+            best = score.argmin(axis=0)
+            step = t[best, slots].astype(np.int64).view(np.uint64)
+            expected[k] = mix(mine[best, 0] ^ mix(step)) % np.uint64(fingerprint.EMPTY)
+
+    drawn, draw = [], fingerprint._drawn
+
+    def counted(mine, slot, w):
+        found = draw(mine, slot, w)
+        drawn.append(found[0].size)
+        return found
+
+    monkeypatch.setattr(fingerprint, "_drawn", counted)
+    if likely is not None:
+        monkeypatch.setattr(fingerprint, "LIKELY", likely)
+        monkeypatch.setattr(fingerprint, "_PIECE", 2 * fingerprint._CHUNK)
+        monkeypatch.setattr(fingerprint, "_OFFERED", 1000)
+    assert np.array_equal(fingerprint.fingerprints(data, starts), expected)
+    if likely is None:
+        pairs = len(set(zip(terms.tolist(), weights.tolist(), strict=True)))
+        assert sum(drawn) < 0.15 * pairs * fingerprint.SLOTS
+
+
 def test_no_rows_have_no_fingerprints(docs_of):
     assert fingerprint.compare_with_edits(docs_of(HARD).limit(0)).collect() == []
 
